@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from cytolake.llm.bpe import op5_byte_bpe
+from cytolake.llm.langid import op9_language_id
 from cytolake.llm.packing import op1_packing
+from cytolake.llm.quality import op2_quality
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op5_byte_bpe, op9_language_id)}
 ORACLES: dict[str, str] = {}
