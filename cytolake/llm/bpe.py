@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cytolake.llm.common import buffer_of, docs_of, partitions, ragged, slices, table
 
 #: Bytes of text in a block, at which a task closes it.
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 8_000_000
 #: Words that a bucket's task remembers at a time.
 MEMO_WORDS = 400_000
 
@@ -160,7 +160,7 @@ def _encode_words(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, memo = encoder(path, pattern)._encode_single_piece, {}
         for batch in batches:
-            for block, bucket, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for block, bucket, payload in zip(*(batch.column(k) for k in ("block", "bucket", "payload")), strict=True):
                 lengths, data = _unpack(payload.as_py(), "<u4", "u1")
                 raw, at, out = data.tobytes(), 0, []
                 if len(memo) > MEMO_WORDS:
@@ -173,7 +173,7 @@ def _encode_words(path: str, pattern: str):
                         ids = memo[w] = np.array(encode(w), "<u4").tobytes()
                     out.append(ids)
                 ids = np.frombuffer(b"".join(out), "<u4")
-                yield _batch([(block, bucket, _pack(np.fromiter(map(len, out), np.uint32, len(out)) // np.uint32(4), ids))], _ANSWER)
+                yield _batch([(block.as_py(), bucket.as_py(), _pack(np.fromiter(map(len, out), np.uint32, len(out)) // np.uint32(4), ids))], _ANSWER)
 
     return run
 
@@ -181,7 +181,7 @@ def _encode_words(path: str, pattern: str):
 _TOKENS = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
 
-def _reassemble(path: str, out_bytes: int = 4_000_000):
+def _reassemble(path: str, out_bytes: int = 2_000_000):
     def rows(streams: pa.Table, answers: pa.Table) -> Iterator[pa.RecordBatch]:
         tokens = token_table(path)
         got = {b: i for i, b in enumerate(answers.column("bucket").to_pylist())}
@@ -230,8 +230,8 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     sent = docs_of(docs).mapInArrow(_explode(n, pattern, block_bytes), "route long, kind int, block long, bucket int, payload binary").repartition(n, "route")
     # rand() keeps the filter above the exchange, which both branches then share.
     kind = F.col("kind") + (F.rand(1) * 0).cast("int")
-    streams = sent.where(kind == 0).select("route", "payload")
-    answers = sent.where(kind == 1).select("block", "bucket", "payload").mapInArrow(_encode_words(path, pattern), "route long, bucket int, payload binary")
+    # Both branches keep all columns, so that Spark finds their exchanges equal and runs one.
+    streams, answers = sent.where(kind == 0), sent.where(kind == 1).mapInArrow(_encode_words(path, pattern), "route long, bucket int, payload binary")
     return streams.groupBy("route").cogroup(answers.groupBy("route")).applyInArrow(_reassemble(path), "doc_id long, n_tokens long, ids binary, decoded binary")
 
 
