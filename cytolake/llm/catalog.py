@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from cytolake.llm.bpe import op5_byte_bpe
 from cytolake.llm.langid import op9_language_id
+from cytolake.llm.minhash import op10_near_duplicates
 from cytolake.llm.packing import op1_packing
 from cytolake.llm.quality import op2_quality
+from cytolake.llm.suffix import op4_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op5_byte_bpe, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op4_suffix_dedup, op5_byte_bpe, op9_language_id, op10_near_duplicates)}
 ORACLES: dict[str, str] = {}
