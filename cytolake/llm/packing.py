@@ -22,14 +22,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import docs_of, ragged, slices, table
+from cytolake.llm.common import buffer_of, docs_of, prefix_hash, ragged, range_hash, slices, table, word_spans
 
 WINDOW = 2048
 CLOSING_ID = 1
 #: Documents in a packing group, on average.
 GROUP_DOCS = 32_768
 #: Distinct chunks that a task remembers at a time.
-MEMO_CHUNKS = 300_000
+MEMO_CHUNKS = 500_000
 
 
 def default_vocabulary() -> str:
@@ -50,43 +50,71 @@ def tokenizer(path: str):
     return t
 
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+ALNUM = np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(97, 123)]] = True
+TAIL = np.zeros(256, bool)
+TAIL[[c for c in range(33, 127) if not chr(c).isalnum() and c != ord("'")]] = True
+
+
 class ChunkEncoder:
-    """Encodes each distinct white-space-free chunk once. The vocabulary drops white space and splits at it, so a
-    text's ids are its chunks' ids one after the other. Only ASCII white space cuts; the rest is left to the tokenizer."""
+    """Encodes each distinct chunk once. The vocabulary lowers case, drops white space and splits at it, and splits
+    between a letter or digit and other signs, so a text's ids are those of its chunks: ASCII-lowered words, and the
+    signs that end a word after an ASCII letter or digit. What else it splits is left to the tokenizer."""
 
     def __init__(self, path: str) -> None:
         self.path = path
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.lengths: list[np.ndarray] = []
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the number of ids of each text."""
+        self.index: dict[int, int] = {}  # by 64-bit hash
+        self.ids, self.start = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
+        self.used = 0
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        """Encodes new chunks as one text, which spares a call for each, and cuts the ids at the chunks' places."""
+        texts = [c.decode() for c in fresh]
+        place = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        got = tokenizer(self.path).encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(got.ids, np.uint32)
+        at = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
+        counts = np.bincount(np.searchsorted(place, at, "right") - 1, minlength=len(texts))
+        first, need = len(self.index) - len(fresh), self.used + len(ids)
+        if need > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(need, len(self.ids)), np.uint32)])
+        if len(self.index) >= len(self.start):
+            self.start = np.concatenate([self.start, np.zeros(len(self.index) + len(self.start), np.int64)])
+        self.ids[self.used : need] = ids
+        self.start[first + 1 : len(self.index) + 1] = self.used + np.cumsum(counts)
+        self.used = need
+
+    def __call__(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of rows end to end: all ids, and the number of ids of each row."""
+        n = len(off) - 1
+        data = LOWER[data]
+        start, end, doc = word_spans(data, off)
+        if not len(start):
+            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
+        middle = np.maximum.accumulate(np.where(TAIL[data], -1, np.arange(len(data))))[end - 1] + 1
+        two = np.flatnonzero((middle > start) & (middle < end) & ALNUM[data[np.maximum(middle, 1) - 1]])
+        begin = np.concatenate([start, middle[two]])
+        stop = np.concatenate([end, end[two]])
+        stop[two] = middle[two]
+        order = np.argsort(begin)
+        begin, stop, doc = begin[order], stop[order], np.concatenate([doc, doc[two]])[order]
+        h, one, where = np.unique(range_hash(prefix_hash(data), begin, stop), return_index=True, return_inverse=True)
         if len(self.index) > MEMO_CHUNKS:
             self.clear()
-        index, at, before = self.index, [], len(self.index)
-        counts = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            chunks = text.encode().split()
-            counts[i] = len(chunks)
-            at += [index.setdefault(c, len(index)) for c in chunks]
-        if len(index) > before:
-            fresh = [c.decode() for c in list(index)[before:]]
-            got = [np.array(e.ids, np.uint32) for e in tokenizer(self.path).encode_batch_fast(fresh, add_special_tokens=False)]
-            self.ids.append(np.concatenate(got))
-            self.lengths.append(np.fromiter(map(len, got), np.int64, len(got)))
-            self.ids, self.lengths = [np.concatenate(self.ids)], [np.concatenate(self.lengths)]
-        if not at:
-            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        length = self.lengths[0]
-        start = np.cumsum(length) - length
-        where = np.array(at, np.int64)
-        sizes = np.concatenate([[0], np.cumsum(length[where])])
-        edge = np.concatenate([[0], np.cumsum(counts)])
-        return self.ids[0][ragged(start[where], length[where])], np.diff(sizes[edge])
+        index, before = self.index, len(self.index)
+        at = np.fromiter((index.setdefault(x, len(index)) for x in h.tolist()), np.int64, len(h))
+        new = np.flatnonzero(at >= before)
+        if len(new):
+            raw = data.tobytes()
+            self._learn([raw[a:b] for a, b in zip(begin[one[new]].tolist(), stop[one[new]].tolist(), strict=True)])
+        at = at[where]
+        length = self.start[at + 1] - self.start[at]
+        return self.ids[ragged(self.start[at], length)], np.bincount(doc, weights=length, minlength=n).astype(np.int64)
 
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("salt", pa.int64()), ("ids", pa.binary())])
@@ -96,7 +124,7 @@ def _cut(path: str, window: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, n = ChunkEncoder(path), 0
         for part in slices(batches, limit=1_000_000):
-            ids, counts = encode(part.column(1).to_pylist())
+            ids, counts = encode(*buffer_of(part.column(1)))
             at, rows = 0, []
             for doc, size in zip(part.column(0).to_pylist(), counts.tolist(), strict=True):
                 own = np.append(ids[at : at + size], np.uint32(CLOSING_ID)).astype("<u4")
