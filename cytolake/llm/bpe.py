@@ -64,8 +64,7 @@ def token_table(path: str) -> pa.Array:
 
 def decode_ids(ids: np.ndarray, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Joins ids with the token table: the bytes one after the other, and the offset of each id."""
-    got = tokens.take(pa.array(ids))
-    if got.null_count:
+    if len(ids) and int(ids.max()) >= len(tokens) or (got := tokens.take(pa.array(ids))).null_count:
         raise ValueError("an id is not in the token table")
     return buffer_of(got)
 
