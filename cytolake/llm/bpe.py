@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import buffer_of, docs_of, partitions, ragged, slices, table
+from cytolake.llm.common import buffer_of, docs_of, lean, partitions, ragged, slices, table
 
 #: Bytes of text in a block, at which a task closes it.
 BLOCK_BYTES = 8_000_000
@@ -226,11 +226,11 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and decoded (bytes of the ids) of each document."""
     path, pattern = path or default_paths()[0], pattern or default_paths()[1]
     n = partitions(docs.sparkSession)
-    sent = docs_of(docs).mapInArrow(_explode(n, pattern, block_bytes), "route long, kind int, block long, bucket int, payload binary").repartition(n, "route")
+    sent = docs_of(docs).mapInArrow(lean(_explode(n, pattern, block_bytes)), "route long, kind int, block long, bucket int, payload binary").repartition(n, "route")
     # rand() keeps the filter above the exchange, which both branches then share.
     kind = F.col("kind") + (F.rand(1) * 0).cast("int")
     # Both branches keep all columns, so that Spark finds their exchanges equal and runs one.
-    streams, answers = sent.where(kind == 0), sent.where(kind == 1).mapInArrow(_encode_words(path, pattern), "route long, bucket int, payload binary")
+    streams, answers = sent.where(kind == 0), sent.where(kind == 1).mapInArrow(lean(_encode_words(path, pattern)), "route long, bucket int, payload binary")
     return streams.groupBy("route").cogroup(answers.groupBy("route")).applyInArrow(_reassemble(path), "doc_id long, n_tokens long, ids binary, decoded binary")
 
 

@@ -6,6 +6,8 @@ executor computes the same value for the same bytes.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -19,7 +21,7 @@ GOLDEN = 0x9E3779B97F4A7C15
 BASE = 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
 #: Bytes of text that one vectorised step handles; bounds the memory of a Python worker.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -44,6 +46,23 @@ def docs_of(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def lean(run):
+    """The same batch function, which gives its memory back to the system at the end: Python workers live on between stages."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # another C library
+                pass
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64."""
     x = x.astype(np.uint64, copy=True)

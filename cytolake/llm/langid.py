@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import buffer_of, docs_of, hash_sample, mix, slices, table
+from cytolake.llm.common import buffer_of, docs_of, hash_sample, lean, mix, slices, table
 
 TRAIN_DOCS = 8000
 BITS = 16
@@ -111,7 +111,7 @@ def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> Model:
     known = docs.where("lang is not null")
     share = hash_sample(known, "doc_id", rows)
     part = share.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), F.col("lang").cast("string"))
-    got = part.mapInArrow(_count, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
+    got = part.mapInArrow(lean(_count), "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(got["lang"]))
     counts = np.zeros(((1 << BITS) + len(NAMES), max(len(langs), 1)))
     for k, lang in enumerate(langs):
@@ -251,13 +251,13 @@ def held_out():
 def identify(docs: DataFrame, model: Model, switch: float = SWITCH, with_spans: bool = True) -> DataFrame:
     """doc_id, lang_pred, score, spans (language, first and last code point of each)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs_of(docs).mapInArrow(_identify(sent, switch, None, with_spans), "doc_id long, lang_pred string, score double, spans array<struct<lang:string,start:bigint,end:bigint>>")
+    return docs_of(docs).mapInArrow(lean(_identify(sent, switch, None, with_spans)), "doc_id long, lang_pred string, score double, spans array<struct<lang:string,start:bigint,end:bigint>>")
 
 
 def keep(docs: DataFrame, model: Model, least: float = 0.5, switch: float = SWITCH) -> DataFrame:
     """The rows of docs, with all their columns, of which one language holds at least that share of the letters."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.where("text is not null").mapInArrow(_identify(sent, switch, least, False), docs.schema)
+    return docs.where("text is not null").mapInArrow(lean(_identify(sent, switch, least, False)), docs.schema)
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import docs_of, slices, table
+from cytolake.llm.common import docs_of, lean, slices, table
 
 #: A line with one of these stems belongs to a candidate block; the text search by Spark and the line search agree.
 TRIGGER = r"(?i)licen[cs]|copyright|\(c\)|all rights reserved|public domain|spdx|permission is|redistribut|warrant|creative commons|\bcc[ -]by|\bcc0"
@@ -150,7 +150,7 @@ def _scan(unconfirmed: bool):
 def scan(docs: DataFrame, unconfirmed: bool = False) -> DataFrame:
     """A row for each confirmed block of each text."""
     some = docs_of(docs).where(F.col("text").rlike(TRIGGER))
-    return some.mapInArrow(_scan(unconfirmed), "doc_id long, first_line long, license_id string, bytes_alone long, bytes_with_template long, saving double, missing_words long, extra_words long, block string")
+    return some.mapInArrow(lean(_scan(unconfirmed)), "doc_id long, first_line long, license_id string, bytes_alone long, bytes_with_template long, saving double, missing_words long, extra_words long, block string")
 
 
 def op3_license_scan(spark, sf_dir: str) -> DataFrame:

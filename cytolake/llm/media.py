@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import docs_of, shared_dir, slices, table
+from cytolake.llm.common import docs_of, lean, shared_dir, slices, table
 
 WIDTH, FILL = 576, 255
 SEEN = 100_000
@@ -135,7 +135,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sequences(pages: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """doc_id and items of each page: text and media references in document order."""
-    return pages.select(F.col(id_column).cast("long").alias("doc_id"), F.col("html").cast("string").alias("html")).mapInArrow(_parse, f"doc_id long, items {ITEMS}")
+    return pages.select(F.col(id_column).cast("long").alias("doc_id"), F.col("html").cast("string").alias("html")).mapInArrow(lean(_parse), f"doc_id long, items {ITEMS}")
 
 
 def payload_of(text):
@@ -161,7 +161,7 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def store_media(payloads: DataFrame, path: str) -> DataFrame:
     """Writes the stored form of digest, payload rows to path, and returns the table; a digest may be there more than once."""
-    payloads.mapInArrow(_store, "digest string, media binary").write.mode("overwrite").parquet(path)
+    payloads.mapInArrow(lean(_store), "digest string, media binary").write.mode("overwrite").parquet(path)
     return payloads.sparkSession.read.parquet(path)
 
 
@@ -182,7 +182,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def media_features(media: DataFrame) -> DataFrame:
     """What the stored bytes say, one row for each digest."""
-    return media.select("digest", "media").mapInArrow(_features, _FEATURES).dropDuplicates(["digest"])
+    return media.select("digest", "media").mapInArrow(lean(_features), _FEATURES).dropDuplicates(["digest"])
 
 
 def resolve(items: DataFrame, payloads: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import BASE, GOLDEN, buffer_of, docs_of, mix, partitions, prefix_hash, range_hash, shared_dir, slices, table, window_hash, word_spans
+from cytolake.llm.common import BASE, GOLDEN, buffer_of, docs_of, lean, mix, partitions, prefix_hash, range_hash, shared_dir, slices, table, window_hash, word_spans
 
 WORDS, THRESHOLD = 5, 0.8
 REGISTERS, BANDS = 128, 32
@@ -187,9 +187,9 @@ def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, reg
     """key, leader, similarity of the compared pairs of different texts that reach the threshold; a written table."""
     spark, n = docs.sparkSession, partitions(docs.sparkSession)
     texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").where("text <> ''")
-    dealt = texts.mapInArrow(_bands(words, registers, bands), "band long, ord long, key binary").repartition(n, "band").sortWithinPartitions("band", "ord")
+    dealt = texts.mapInArrow(lean(_bands(words, registers, bands)), "band long, ord long, key binary").repartition(n, "band").sortWithinPartitions("band", "ord")
     at = shared_dir(spark, "near-pairs")
-    dealt.mapInArrow(_pairs, "key binary, leader binary").distinct().write.parquet(at)
+    dealt.mapInArrow(lean(_pairs), "key binary, leader binary").distinct().write.parquet(at)
     pairs = spark.read.parquet(at)
     degree = pairs.groupBy("leader").agg(F.ceil(F.count("*") / salt_every).alias("salts"))
     members = pairs.join(degree, "leader").select("key", "leader", F.pmod(F.xxhash64("key"), F.col("salts")).alias("salt"), F.lit(1).alias("role"))
@@ -198,7 +198,7 @@ def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, reg
     sent = texts.dropDuplicates(["key"]).join(asked.hint("shuffle_hash"), "key")
     sent = sent.select("leader", "salt", "role", "key", "text").repartition(n, "leader", "salt").sortWithinPartitions("leader", "salt", "role")
     at = shared_dir(spark, "near-links")
-    sent.mapInArrow(_verify(words, threshold), "key binary, leader binary, similarity double").write.parquet(at)
+    sent.mapInArrow(lean(_verify(words, threshold)), "key binary, leader binary, similarity double").write.parquet(at)
     return spark.read.parquet(at)
 
 

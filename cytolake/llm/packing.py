@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import buffer_of, docs_of, prefix_hash, ragged, range_hash, slices, table, word_spans
+from cytolake.llm.common import buffer_of, docs_of, lean, prefix_hash, ragged, range_hash, slices, table, word_spans
 
 WINDOW = 2048
 CLOSING_ID = 1
@@ -202,7 +202,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, g
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, ids (null unless with_ids), sequence_id, offset."""
     docs = docs_of(docs)
     groups = -(-docs.select("doc_id").count() // group_docs) or 1
-    pieces = docs.mapInArrow(_cut(vocabulary or default_vocabulary(), window, with_ids), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long, ids binary")
+    pieces = docs.mapInArrow(lean(_cut(vocabulary or default_vocabulary(), window, with_ids)), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long, ids binary")
     pieces = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "salt"), F.lit(groups)).cast("int"))
     out = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary, sequence_id long, offset long"
     return pieces.groupBy("grp").applyInArrow(_fill(window), out)

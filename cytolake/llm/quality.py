@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import GOLDEN, SPACE, buffer_of, docs_of, hash_sample, mix, prefix_hash, range_hash, slices, table, window_hash, word_spans
+from cytolake.llm.common import GOLDEN, SPACE, buffer_of, docs_of, hash_sample, lean, mix, prefix_hash, range_hash, slices, table, window_hash, word_spans
 
 #: Bound on the labelled rows to fit on.
 TRAIN_ROWS = 3000
@@ -144,10 +144,10 @@ def fit_rows(labels: np.ndarray, index: list[np.ndarray], value: list[np.ndarray
     y = labels.astype(float)
     if len(set(y[fit])) < 2 or len(set(y[calibrate])) < 2:
         return Model(np.zeros(FEATURES, np.float32), always=True)
-    col, val = np.concatenate([index[i] for i in fit]), np.concatenate([value[i] for i in fit]).astype(float)
-    row = np.repeat(np.arange(len(fit)), [len(index[i]) for i in fit])
+    col, val = np.concatenate([index[i] for i in fit]), np.concatenate([value[i] for i in fit])
+    row = np.repeat(np.arange(len(fit), dtype=np.int32), [len(index[i]) for i in fit])
     scale = 1 / (np.sqrt(np.bincount(col, weights=val * val, minlength=FEATURES) / len(fit)) + 1e-3)
-    val *= scale[col]
+    val *= scale[col].astype(np.float32)
     w, m, v = np.zeros(FEATURES), np.zeros(FEATURES), np.zeros(FEATURES)
     share = y[fit].mean()
     weight = np.where(y[fit] > 0, 0.5 / share, 0.5 / (1 - share)) / len(fit)
@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("label"))
     known = hash_sample(known, "doc_id", rows)
     sample = docs_of(docs).join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
-    got = sample.mapInArrow(_vectors, "doc_id long, label int, index binary, value binary").toArrow()
+    got = sample.mapInArrow(lean(_vectors), "doc_id long, label int, index binary, value binary").toArrow()
     if not got.num_rows:
         return Model(np.zeros(FEATURES, np.float32), always=True)
     ids, kind = got.column("doc_id").to_numpy(), got.column("label").to_numpy()
@@ -221,13 +221,13 @@ def _score(model, keep_at: float, passing: int | None):
 def score(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep_at: float = KEEP_AT) -> DataFrame:
     """A row for each document: counts, base_failed, kept, p_good."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
-    return docs_of(docs).mapInArrow(_score(model, keep_at, None), _SCORES)
+    return docs_of(docs).mapInArrow(lean(_score(model, keep_at, None)), _SCORES)
 
 
 def keep(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep_at: float = KEEP_AT) -> DataFrame:
     """The rows of docs, with all their columns, that pass."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
-    return docs.where("text is not null").mapInArrow(_score(model, keep_at, 1), docs.schema)
+    return docs.where("text is not null").mapInArrow(lean(_score(model, keep_at, 1)), docs.schema)
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:

@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import buffer_of, docs_of, mix, partitions, powers, prefix_hash, ragged, slices, table
+from cytolake.llm.common import buffer_of, docs_of, lean, mix, partitions, powers, prefix_hash, ragged, slices, table
 from cytolake.llm.minhash import _key_array, _keys, fresh, key_of
 
 MIN_LEN, ANCHOR = 400, 64
 #: Bytes of one buffer in the anchor pass; its positions must fit PLACE_BITS bits.
-BUFFER_BYTES, PLACE_BITS = 2_000_000, 24
+BUFFER_BYTES, PLACE_BITS = 1_000_000, 24
 
 
 def window_minimum(values: np.ndarray, size: int) -> np.ndarray:
@@ -287,12 +287,12 @@ def dedup_texts(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR) -
     """A row for each distinct text: key (its digest), n_bytes, n_removed, n_spans, kept_sha256, kept (bytes)."""
     n = partitions(docs.sparkSession)
     texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"))
-    runs = texts.mapInArrow(_anchor_rows(min_len, anchor), "h long, key binary, a long, p long, q long").repartition(n, "h").sortWithinPartitions("h").mapInArrow(_repeated, "h long, key binary, a long, p long, q long")
+    runs = texts.mapInArrow(lean(_anchor_rows(min_len, anchor)), "h long, key binary, a long, p long, q long").repartition(n, "h").sortWithinPartitions("h").mapInArrow(lean(_repeated), "h long, key binary, a long, p long, q long")
     runs = runs.groupBy("key").agg(F.collect_list(F.struct("h", "a", "p", "q")).alias("runs"))
-    sent = texts.join(runs.hint("shuffle_hash"), "key").mapInArrow(_contexts(min_len), "h long, key binary, a long, p long, ctx binary")
-    found = sent.repartition(n, "h").sortWithinPartitions("h").mapInArrow(_match(min_len, anchor), "key binary, s long, e long")
+    sent = texts.join(runs.hint("shuffle_hash"), "key").mapInArrow(lean(_contexts(min_len)), "h long, key binary, a long, p long, ctx binary")
+    found = sent.repartition(n, "h").sortWithinPartitions("h").mapInArrow(lean(_match(min_len, anchor)), "key binary, s long, e long")
     found = found.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("found"))
-    return texts.join(found.hint("shuffle_hash"), "key", "left").mapInArrow(_cut(min_len), "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return texts.join(found.hint("shuffle_hash"), "key", "left").mapInArrow(lean(_cut(min_len)), "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def dedup(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR) -> DataFrame:
@@ -306,7 +306,7 @@ def strip(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR) -> Data
     k, t = fresh(docs, "suffix_key"), fresh(docs, "suffix_text")
     marked = docs.withColumn(k, key_of(F.coalesce(F.col("text").cast("string"), F.lit("")))).drop("text")
     clean = dedup_texts(docs, min_len, anchor).select(F.col("key").alias(k), F.col("kept"))
-    got = marked.join(clean.mapInArrow(_whole_points(k, t), f"{k} binary, {t} string"), k)
+    got = marked.join(clean.mapInArrow(lean(_whole_points(k, t)), f"{k} binary, {t} string"), k)
     cols = {c: F.col(t) if c == "text" else F.length(t).cast("long") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns}
     return got.select(*(v.alias(c) for c, v in cols.items()))
 

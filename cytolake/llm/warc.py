@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import partitions, shared_dir, table
+from cytolake.llm.common import lean, partitions, shared_dir, table
 
 MIN_REVISIT = 100
 ARCHIVE_BYTES = 24_000_000
@@ -146,7 +146,7 @@ def write_archives(pages: DataFrame, uri: str | None = None, archive_bytes: int
     rows = rows.join(first, "digest", "left").withColumn("revisit", (F.col("size") >= MIN_REVISIT) & F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")))
     rows = rows.select("page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "digest", "size", "first_id", "revisit")
     at = shared_dir(spark, "warc-list")
-    rows.mapInArrow(_write(uri, archive_bytes), "path string, n_records long, n_bytes long").write.parquet(at)
+    rows.mapInArrow(lean(_write(uri, archive_bytes)), "path string, n_records long, n_bytes long").write.parquet(at)
     return spark.read.parquet(at)
 
 
@@ -181,7 +181,7 @@ def _read(uri_of: str, with_payload: bool):
 def read_archives(listed: DataFrame, uri: str, with_payload: bool = False) -> DataFrame:
     """A row for each record of the listed archives; uri names the store they are in."""
     n = partitions(listed.sparkSession)
-    return listed.select("path").repartition(n, "path").mapInArrow(_read(uri, with_payload), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    return listed.select("path").repartition(n, "path").mapInArrow(lean(_read(uri, with_payload)), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:
