@@ -68,9 +68,19 @@ def anchors(data: np.ndarray, off: np.ndarray, min_len: int = MIN_LEN, anchor: i
     return gram[at[new]].view(np.int64), row[new], at[new] - base, starts[new] - base, starts[last] - base
 
 
+_RUN = pa.struct([("a", pa.int64()), ("p", pa.int64()), ("q", pa.int64())])
+
+
 def _anchor_rows(min_len: int, anchor: int):
-    def emit(key, h, a, p, q):
-        return pa.RecordBatch.from_arrays([pa.array(h), _key_array(key), pa.array(a), pa.array(p), pa.array(q)], names=["h", "key", "a", "p", "q"])
+    """A row for each hash of each text, with all its runs, so that a text that repeats a line costs its hashes one row each."""
+
+    def emit(key, h, row, a, p, q):
+        order = np.lexsort((p, h, row))
+        h, row, a, p, q = (x[order] for x in (h, row, a, p, q))
+        new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])))
+        runs = pa.StructArray.from_arrays([pa.array(a), pa.array(p), pa.array(q)], fields=list(_RUN))
+        runs = pa.ListArray.from_arrays(pa.array(np.append(new, len(h)), pa.int32()), runs)
+        return pa.RecordBatch.from_arrays([pa.array(h[new]), _key_array(key[row[new]]), runs], names=["h", "key", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, limit=BUFFER_BYTES):
@@ -79,18 +89,18 @@ def _anchor_rows(min_len: int, anchor: int):
             if len(data) <= 2 * BUFFER_BYTES or part.num_rows > 1:
                 h, row, a, p, q = anchors(data, off, min_len, anchor)
                 if len(h):
-                    yield emit(key[row], h, a, p, q)
+                    yield emit(key, h, row, a, p, q)
                 continue
             for base in range(0, len(data) - min_len + 1, BUFFER_BYTES):  # one long text, by stretches of window starts
                 piece = data[base : base + BUFFER_BYTES + min_len - 1]
                 h, row, a, p, q = anchors(piece, np.array([0, len(piece)]), min_len, anchor)
-                yield emit(key[row], h, a + base, p + base, q + base)
+                yield emit(key, h, row, a + base, p + base, q + base)
 
     return run
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by hash, those whose hash occurs twice or more; holds one row back."""
+    """Of rows sorted by hash, those whose hash has several runs, here or in other rows; holds one row back."""
     held, shown = None, True
     for batch in batches:
         if not batch.num_rows:
@@ -99,31 +109,64 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             batch = pa.concat_batches([held, batch])
         h = batch.column(0).to_numpy()
         same = h[1:] == h[:-1]
-        flag = np.append(same, False) | np.append(False, same)
+        flag = np.append(same, False) | np.append(False, same) | (batch.column(2).value_lengths().to_numpy() > 1)
         if held is not None and shown:
-            flag[1:2] |= same[:1]
             flag[0] = False  # it has been given already
         shown = bool(flag[-1]) or (len(h) == 1 and shown)
         yield batch.filter(pa.array(flag))
         held = batch.slice(batch.num_rows - 1)
 
 
+#: Bytes of distinct runs that a task remembers at a time.
+SEEN_BYTES = 24_000_000
+
+
 def _contexts(min_len: int):
+    """The runs with their bytes. Of equal runs that a task meets, one goes on; as all their windows repeat, the bytes
+    that they cover go along as finished ranges (ctx null, a and p the start and end), dealt by text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, list] = {}
+        held = 0
         for part in slices(batches):
             key = _keys(part.column(part.schema.get_field_index("key")))
             data, off = buffer_of(part.column(part.schema.get_field_index("text")))
-            runs = part.column(part.schema.get_field_index("runs"))
-            flat = runs.flatten()
-            row = np.repeat(np.arange(part.num_rows), runs.value_lengths().to_numpy())
-            h, a, p, q = (flat.field(k).to_numpy() for k in ("h", "a", "p", "q"))
+            hashes = part.column(part.schema.get_field_index("runs"))
+            outer = hashes.flatten()
+            inner = outer.field("runs")
+            n_inner = inner.value_lengths().to_numpy()
+            h = np.repeat(outer.field("h").to_numpy(), n_inner)
+            row = np.repeat(np.repeat(np.arange(part.num_rows), hashes.value_lengths().to_numpy()), n_inner)
+            flat = inner.flatten()
+            a, p, q = (flat.field(k).to_numpy() for k in ("a", "p", "q"))
             for x in range(0, len(h), 4096):
                 s = slice(x, x + 4096)
                 size = q[s] - p[s] + min_len
-                raw = data[ragged(off[row[s]] + p[s], size)]
-                edge = np.append(0, np.cumsum(size)).astype(np.int32)
-                ctx = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(edge), pa.py_buffer(raw)])
-                yield pa.RecordBatch.from_arrays([pa.array(h[s]), _key_array(key[row[s]]), pa.array(a[s]), pa.array(p[s]), ctx], names=["h", "key", "a", "p", "ctx"])
+                raw = data[ragged(off[row[s]] + p[s], size)].tobytes()
+                edge = np.append(0, np.cumsum(size))
+                go, done = [], []
+                for i, (hi, ai, pi, lo, hi_edge, r) in enumerate(zip(h[s].tolist(), a[s].tolist(), p[s].tolist(), edge[:-1].tolist(), edge[1:].tolist(), row[s].tolist(), strict=True)):
+                    mark = (hi, ai - pi, raw[lo:hi_edge])
+                    first = seen.get(mark)
+                    if first is None:
+                        seen[mark] = [key[r].tobytes(), pi, hi_edge - lo]
+                        held += hi_edge - lo + 300
+                        go.append(i)
+                        continue
+                    if first:
+                        done.append((first[0], first[1], first[1] + first[2]))
+                        first.clear()
+                    done.append((key[r].tobytes(), pi, pi + hi_edge - lo))
+                go = np.array(go, np.int64)
+                if len(go):
+                    ctx = pa.array([raw[edge[i] : edge[i + 1]] for i in go], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(h[s][go]), _key_array(key[row[s][go]]), pa.array(a[s][go]), pa.array(p[s][go]), ctx], names=["h", "key", "a", "p", "ctx"])
+                if done:
+                    raw_key = np.frombuffer(b"".join(d[0] for d in done), np.uint8).reshape(-1, 16)
+                    yield pa.RecordBatch.from_arrays([pa.array(raw_key.view("<i8")[:, 0].copy()), _key_array(raw_key), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64()), pa.nulls(len(done), pa.binary())], names=["h", "key", "a", "p", "ctx"])
+                if held > SEEN_BYTES:
+                    seen.clear()
+                    held = 0
 
     return run
 
@@ -241,6 +284,11 @@ def _match(min_len: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = Family()
         for batch in batches:
+            ctx = batch.column(batch.schema.get_field_index("ctx"))
+            if ctx.null_count:
+                ready = batch.filter(ctx.is_null())
+                yield pa.RecordBatch.from_arrays([ready.column(ready.schema.get_field_index(k)) for k in ("key", "a", "p")], names=["key", "s", "e"])
+                batch = batch.filter(ctx.is_valid())
             for x in range(0, batch.num_rows, 8192):
                 for got in family.add(Level.of(batch.slice(x, 8192), min_len, anchor)):
                     if got.num_rows:
@@ -287,8 +335,9 @@ def dedup_texts(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR) -
     """A row for each distinct text: key (its digest), n_bytes, n_removed, n_spans, kept_sha256, kept (bytes)."""
     n = partitions(docs.sparkSession)
     texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"))
-    runs = texts.mapInArrow(lean(_anchor_rows(min_len, anchor)), "h long, key binary, a long, p long, q long").repartition(n, "h").sortWithinPartitions("h").mapInArrow(lean(_repeated), "h long, key binary, a long, p long, q long")
-    runs = runs.groupBy("key").agg(F.collect_list(F.struct("h", "a", "p", "q")).alias("runs"))
+    kind = "h long, key binary, runs array<struct<a:bigint,p:bigint,q:bigint>>"
+    runs = texts.mapInArrow(lean(_anchor_rows(min_len, anchor)), kind).repartition(n, "h").sortWithinPartitions("h").mapInArrow(lean(_repeated), kind)
+    runs = runs.groupBy("key").agg(F.collect_list(F.struct("h", "runs")).alias("runs"))
     sent = texts.join(runs.hint("shuffle_hash"), "key").mapInArrow(lean(_contexts(min_len)), "h long, key binary, a long, p long, ctx binary")
     found = sent.repartition(n, "h").sortWithinPartitions("h").mapInArrow(lean(_match(min_len, anchor)), "key binary, s long, e long")
     found = found.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("found"))
