@@ -152,7 +152,7 @@ def _z_sql(z):
 RANK_SQL = """{name}_r AS (SELECT *, rank() OVER (PARTITION BY gene_id ORDER BY value) + (count(*) OVER (PARTITION BY gene_id, value) - 1) / 2.0 AS r,
   count(*) OVER (PARTITION BY gene_id, value)::DOUBLE AS t FROM {src} WHERE value > 0)"""
 BULK_SQL = f"""{SIZE_SQL}, bulk AS (SELECT sample, cell_type, gene_id, sum(value) AS value FROM expr JOIN cells USING (cell_id) JOIN size USING (sample, cell_type) GROUP BY ALL),
-units AS (SELECT cell_type, count(DISTINCT sample)::DOUBLE AS nk FROM bulk GROUP BY 1), sz AS (SELECT *, (SELECT sum(nk) FROM units) AS n FROM units),
+units AS (SELECT cell_type, count(DISTINCT sample)::DOUBLE AS nk FROM bulk GROUP BY 1), sz AS (SELECT * FROM (SELECT *, (SELECT sum(nk) FROM units) AS n FROM units) WHERE nk >= 2 AND n - nk >= 2),
 {RANK_SQL.format(name='bulk', src='bulk')},
 each AS (SELECT gene_id, cell_type, sum(r) AS r, count(*) AS nnz, sum(value) AS s FROM bulk_r GROUP BY 1, 2),
 gene AS (SELECT gene_id, count(*) AS all_nnz, sum(t * t - 1) AS ties, sum(value) AS all_s FROM bulk_r GROUP BY 1),
