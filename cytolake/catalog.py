@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cytolake import binding as B
 from cytolake.functions import numeric as N
-from cytolake.operators import cnv, embedding, groups, matrix, neighbors, ranking, reads, scoring
+from cytolake.operators import cnv, embedding, groups, matrix, neighbors, ranking, reads, scoring, views
 from cytolake.sources import gtf
 from cytolake.sources.shared import written
 
@@ -334,7 +334,7 @@ def gene_pseudotime_corr(s, d):
 # -- scores
 
 
-SCORE_SQL = """sets AS (SELECT DISTINCT set_name, gene_id FROM genes WHERE gene_id % 4 = 0),
+SCORE_SQL = """sets AS (SELECT DISTINCT set_name, gene_id FROM genes),
 gm AS (SELECT g.gene_id, symbol, coalesce(sum(value), 0) AS s FROM genes g LEFT JOIN norm USING (gene_id) GROUP BY 1, 2),
 gb AS (SELECT gene_id, symbol, floor((row_number() OVER (ORDER BY round(s, 6), gene_id) - 1) * 25 / count(*) OVER ())::INT AS bin FROM gm),
 hit AS (SELECT DISTINCT set_name, bin FROM sets JOIN gb USING (gene_id)),
@@ -349,7 +349,7 @@ ann AS (SELECT a.cell_id, CASE WHEN a.score < 0.1 THEN 'Unknown' ELSE a.set_name
 
 
 def _scores(s, d):
-    sets = B.gene_sets(s, d).where("gene_id % 4 = 0").distinct()
+    sets = B.gene_sets(s, d).distinct()
     names = scoring.set_names(sets)
     return scoring.score_sets(matrix.normalize(B.expr(s, d)), sets, B.genes(s, d), B.cells(s, d), names), names
 
@@ -390,13 +390,13 @@ def cyt_score(s, d):
     return B.cells(s, d).join(x, "cell_id", "left").select("cell_id", F.round(N.cyt(F.coalesce("a", F.lit(0.0)), F.coalesce("b", F.lit(0.0))), 6).alias("cyt"))
 
 
-@query("""WITH wt AS (SELECT set_name AS regulator, gene_id, 1.0 AS w FROM genes WHERE gene_id % 4 = 0), n AS (SELECT count(*)::DOUBLE AS n FROM genes),
+@query("""WITH wt AS (SELECT set_name AS regulator, gene_id, 1.0 AS w FROM genes), n AS (SELECT count(*)::DOUBLE AS n FROM genes),
 c AS (SELECT cell_id, sum(value) AS sx, sum(value * value) AS sxx FROM norm GROUP BY 1), r AS (SELECT regulator, sum(w)::DOUBLE AS sw, sum(w * w)::DOUBLE AS sww FROM wt GROUP BY 1),
 xw AS (SELECT cell_id, regulator, sum(value * w::DOUBLE) AS sxw FROM norm JOIN wt USING (gene_id) GROUP BY 1, 2),
 b AS (SELECT cell_id, regulator, n, (n * coalesce(sxw, 0) - sx * sw) / (sqrt(n * sxx - sx * sx) * sqrt(n * sww - sw * sw)) AS rho FROM c CROSS JOIN r LEFT JOIN xw USING (cell_id, regulator), n)
 SELECT cell_id, regulator, round(coalesce(rho * sqrt((n - 2) / (1 - rho * rho)), 0), 6) AS activity FROM b""")
 def tf_activity(s, d):
-    w = B.gene_sets(s, d).where("gene_id % 4 = 0").select(F.col("set_name").alias("regulator"), "gene_id", F.lit(1.0).alias("weight"))
+    w = B.gene_sets(s, d).select(F.col("set_name").alias("regulator"), "gene_id", F.lit(1.0).alias("weight"))
     return r6(scoring.univariate_activity(matrix.normalize(B.expr(s, d)), w, B.read(s, d, "part").count()), "activity")
 
 
@@ -627,6 +627,57 @@ def gtf_parse(s, d):
     return gtf.exons_of_lines(lines)
 
 
+# -- tables behind figures
+
+
+@query(f"""WITH {WILCOXON_SQL} SELECT gene_id, grp, round(lfc, 6) AS lfc, round(-log10(greatest(padj, 1e-300)), 4) AS neg_log10_padj,
+CASE WHEN round(padj, 9) < 0.9 AND abs(lfc) > 0.25 THEN CASE WHEN lfc > 0 THEN 'up' ELSE 'down' END ELSE 'ns' END AS flag FROM ranked""")
+def volcano(s, d):
+    x = _ranked(s, d)
+    v = views.volcano(x.withColumn("padj", F.round("padj", 9)), 0.9).select("gene_id", "grp", "flag", F.round("lfc", 6).alias("lfc"))
+    exact = views.volcano(x).select("gene_id", "grp", F.round("neg_log10_padj", 4).alias("neg_log10_padj"))
+    return v.join(exact, ["gene_id", "grp"])
+
+
+@query("""WITH x AS (SELECT gene_id, chromosome, row_number() OVER (ORDER BY chromosome, start, gene_id) - 1 AS place, lag(chromosome) OVER (ORDER BY chromosome, start, gene_id) AS was FROM genes) SELECT chromosome, place FROM x WHERE was <> chromosome""")
+def chromosome_boundaries(s, d):
+    return views.boundaries(B.genes(s, d))
+
+
+@query("WITH x AS (SELECT cell_id, row_number() OVER (ORDER BY cell_id) - 1 AS r, count(*) OVER () AS n FROM cells) SELECT cell_id FROM x WHERE r % greatest(1, n // 500) = 0")
+def arrow_sample(s, d):
+    return views.every_kth(B.cells(s, d), "cell_id").select("cell_id")
+
+
+@query("""WITH g AS (SELECT i AS gene_id FROM range(6) r(i)), w AS (SELECT greatest(1, least(50, CASE WHEN count(*) // 5 = 0 THEN 1 ELSE count(*) // 5 END)) AS s FROM ptime),
+x AS (SELECT g.gene_id, p.cell_id, coalesce(v.value, 0) AS v, row_number() OVER (PARTITION BY g.gene_id ORDER BY p.pt, p.cell_id) AS i, count(*) OVER (PARTITION BY g.gene_id) AS n FROM g CROSS JOIN ptime p LEFT JOIN norm v ON v.cell_id = p.cell_id AND v.gene_id = g.gene_id),
+m AS (SELECT gene_id, cell_id, n, unnest(range(i - s // 2, i + s - s // 2)) AS j FROM x, w), t AS (SELECT *, CASE WHEN j < 1 THEN 1 - j WHEN j > n THEN 2 * n + 1 - j ELSE j END AS k FROM m)
+SELECT t.gene_id, t.cell_id, round(avg(x.v), 6) AS smoothed FROM t JOIN x ON x.gene_id = t.gene_id AND x.i = t.k GROUP BY 1, 2""")
+def gene_trends(s, d):
+    genes = B.genes(s, d).where("gene_id <= 5").select("gene_id")
+    return r6(views.gene_trends(matrix.normalize(B.expr(s, d)), B.pseudotime(s, d), genes), "smoothed").select("gene_id", "cell_id", "smoothed")
+
+
+@query("""WITH g AS (SELECT cluster, count(pt) AS n, stddev_samp(pt) AS sd FROM layout GROUP BY 1), b AS (SELECT min(pt) AS lo, max(pt) AS hi FROM layout),
+x AS (SELECT l.cluster, n, sd * pow(n, -0.2) AS h, pt, i, lo + i * (hi - lo) / 49 AS x FROM layout l JOIN g USING (cluster), b, range(50) t(i))
+SELECT cluster, round(x, 6) AS x, round(sum(exp(-0.5 * ((x - pt) / h) * ((x - pt) / h)) / h) / any_value(n) / sqrt(2 * pi()), 6) AS density FROM x GROUP BY cluster, x""")
+def pseudotime_density(s, d):
+    return r6(views.density(B.layout(s, d), "cluster", "pt", 50), "x", "density")
+
+
+@query(f"WITH {SCORE_SQL} SELECT set_name, round(abs(avg(score)), 6) AS strength FROM scores GROUP BY 1 ORDER BY round(abs(avg(score)), 9) DESC, set_name LIMIT 15")
+def absolute_ranking(s, d):
+    return r6(views.absolute_ranking(_scores(s, d)[0], "set_name", "score"), "strength")
+
+
+@query("""WITH t AS (SELECT doc_id, 'see doi 10.' || (1000 + doc_id) || '/abc.' || doc_id || '. And 10.12345/x-y_' || doc_id || ', too' AS text FROM documents)
+SELECT doc_id, list_transform(regexp_extract_all(text, '10\.[0-9]{4,9}/[-._;()/:A-Za-z0-9]+'), lambda x: regexp_replace(x, '[.,;)]+$', ''))::VARCHAR AS dois FROM t""", views=False)
+def doi_extract(s, d):
+    i = F.col("doc_id").cast("string")
+    t = B.read(s, d, "documents").select("doc_id", F.concat(F.lit("see doi 10."), (F.col("doc_id") + 1000).cast("string"), F.lit("/abc."), i, F.lit(". And 10.12345/x-y_"), i, F.lit(", too")).alias("text"))
+    return views.dois(t, "text").select("doc_id", F.concat(F.lit("["), F.array_join("dois", ", "), F.lit("]")).alias("dois"))
+
+
 # -- iterative and learned; tested by pytest
 
 
