@@ -15,7 +15,7 @@ FLAGS: list[tuple[str, str, object]] = [
     ("--min-genes", "qc.min_genes", int), ("--max-genes", "qc.max_genes", int), ("--min-counts", "qc.min_counts", int), ("--max-counts", "qc.max_counts", int),
     ("--max-mito-pct", "qc.max_mito_pct", float), ("--max-ribo-pct", "qc.max_ribo_pct", float), ("--min-cells", "qc.min_cells", int),
     ("--expected-doublet-rate", "doublet.expected_rate", float), ("--n-top-genes", "clustering.n_top_genes", int), ("--n-pcs", "clustering.n_pcs", int), ("--n-neighbors", "clustering.n_neighbors", int),
-    ("--resolution", "clustering.resolution", float), ("--de-method", "de_method", ["wilcoxon", "t-test", "t-test_overestim_var"]), ("--de-n-genes", "de_n_genes", int),
+    ("--resolution", "clustering.resolution", float), ("--de-method", "de_method", ["wilcoxon", "t-test", "t-test_overestim_var", "logreg"]), ("--de-n-genes", "de_n_genes", int),
     ("--de-pval-threshold", "de_alpha", float), ("--de-logfc-threshold", "de_lfc", float), ("--annotation-threshold", "annotation_threshold", float),
     ("--batch-key", "batch.key", str), ("--batch-method", "batch.method", ["harmony", "bbknn", "combat"]), ("--root-cluster", "root_cluster", str),
     ("--cnv-reference-group", "cnv.reference_group", str), ("--cnv-window-size", "cnv.window_size", int), ("--velocity-reads", "velocity.reads", str), ("--velocity-layers", "velocity.layers", str),

@@ -260,3 +260,16 @@ def test_velocity(spark):
         assert length[i] == pytest.approx(np.linalg.norm(vv[i]))
     t = reads.transfer(spark.range(n).withColumnRenamed("id", "cell_id"), vel.groupBy("cell_id").agg(F.count("*").alias("k")), ["k", "absent"])
     assert t.columns == ["cell_id", "k"]
+
+
+def test_logistic_ranking(spark):
+    rng = np.random.default_rng(0)
+    lab = np.arange(90) % 3
+    x = rng.poisson(0.5, (90, 9)).astype(float)
+    for k in range(3):
+        x[lab == k, k] += 4
+    ids = spark.createDataFrame([(i, f"c{k}") for i, k in enumerate(lab.tolist())], "id long, grp string")
+    got = embedding.logistic_ranking(vectors(spark, x).select("id", "vec"), ids, list(range(9))).collect()
+    for k in range(3):
+        mine = {r.gene_id: r.score for r in got if r.grp == f"c{k}"}
+        assert max(mine, key=mine.get) == k
