@@ -3,10 +3,13 @@
 A text is its runs of five words (a shorter text is one run), weighted by how often each occurs. Each shingle's
 arrivals form a Poisson process whose rate is its weight; an arrival falls on a random register, a register keeps
 the earliest arrival's shingle, and a shingle stops once its next arrival is later than every register's. The share
-of equal registers estimates the probability Jaccard similarity. Bands of registers deal texts into buckets; in a
-bucket each text is compared with the bucket's leader, by the exact probability Jaccard similarity of the whole
-texts. Four orders of texts take turns over the bands, so that a text meets several leaders. Classes are the
-connected components of the pairs at or above the threshold.
+of equal registers estimates the probability Jaccard similarity. Bands of registers deal texts into buckets.
+
+In a bucket each text is paired with the bucket's leader and with the NEAR texts before it; four orders of texts take
+turns over the bands, so that a text meets several leaders and neighbours, and small buckets have all their pairs.
+First the pairs with leaders are verified, by the exact probability Jaccard similarity of the whole texts; then those
+other pairs whose texts are not in one class yet. Classes are the connected components of the verified pairs, so no
+bucket needs all pairs.
 
 Equal texts collapse first, by digest, with partial aggregation, so that a large group of copies costs one text. A
 bucket is read as a sorted stream and needs no memory; a leader with many members is repeated for each SALT_EVERY
@@ -31,6 +34,9 @@ from cytolake.llm.common import BASE, GOLDEN, buffer_of, docs_of, lean, mix, par
 WORDS, THRESHOLD = 5, 0.8
 REGISTERS, BANDS = 128, 32
 SALT_EVERY = 512
+NEAR = 8
+#: Keys that a task remembers, to send a text that it meets again once.
+SEEN_KEYS = 200_000
 
 
 def shingles(data: np.ndarray, off: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +126,13 @@ def _bands(words: int, registers: int, bands: int):
     turn = mix(np.arange(bands, dtype=np.uint64) % np.uint64(4) + np.uint64(1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for part in slices(batches, limit=1_000_000):
+            names = part.column(0).to_pylist()
+            fresh = [i for i, k in enumerate(names) if k not in seen and not seen.add(k)]
+            if len(seen) > SEEN_KEYS:
+                seen.clear()
+            part = part.take(pa.array(fresh, pa.int64()))
             key = _keys(part.column(0))
             data, off = buffer_of(part.column(1))
             elem, row, weight = weighted(*shingles(data, off, words))
@@ -138,24 +150,43 @@ def _bands(words: int, registers: int, bands: int):
     return run
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by band and order: each text with the first of its band."""
-    band0, lead0 = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        band, keys = batch.column(0).to_numpy(), _keys(batch.column(2))
-        first = np.append(band0 is None or band[0] != band0, band[1:] != band[:-1])
-        at = np.maximum.accumulate(np.where(first, np.arange(len(band)), -1))
-        lead = keys[np.maximum(at, 0)]
-        if lead0 is not None:
-            lead[at < 0] = lead0
-        band0, lead0 = band[-1], lead[-1].copy()
-        both = np.concatenate([keys, lead], axis=1)[(keys != lead).any(1)]
-        if len(both):
-            wide = both.view("<u8")
-            both = both[np.unique(mix(mix(wide[:, 0]) + wide[:, 1] + mix(wide[:, 2] * np.uint64(BASE)) * np.uint64(3) + wide[:, 3]), return_index=True)[1]]
-            yield pa.RecordBatch.from_arrays([_key_array(both[:, :16]), _key_array(both[:, 16:])], names=["key", "leader"])
+def _pairs(near: int):
+    """Of rows sorted by band and order: each text with the first of its band (kind 0) and with the near ones before it (kind 1)."""
+
+    def distinct(both: np.ndarray) -> np.ndarray:
+        w = both.view("<u8")
+        return both[np.unique(mix(mix(w[:, 0]) + w[:, 1] + mix(w[:, 2] * np.uint64(BASE)) * np.uint64(3) + w[:, 3]), return_index=True)[1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, keys, leads = np.zeros(0, np.int64), np.zeros((0, 16), np.uint8), np.zeros((0, 16), np.uint8)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            old = len(bands)
+            band, key = np.concatenate([bands, batch.column(0).to_numpy()]), np.concatenate([keys, _keys(batch.column(2))])
+            again = np.append(False, (band[1:] == band[:-1]) & (key[1:] == key[:-1]).all(1))
+            again[:old] = False
+            band, key = band[~again], key[~again]
+            first = np.append(True, band[1:] != band[:-1])
+            at = np.maximum.accumulate(np.where(first, np.arange(len(band)), 0))
+            lead = key[at]
+            if old:  # rows that go on the band that the last batch ended in
+                lead[:old] = leads
+                lead[band == bands[-1]] = leads[-1]
+            new = np.arange(len(band)) >= old
+            found = [(0, np.concatenate([key, lead], axis=1)[new & (key != lead).any(1)])]
+            for d in range(1, near + 1):
+                pick = np.flatnonzero(new[d:] & (band[d:] == band[:-d]) & (key[:-d] != lead[d:]).any(1))
+                found.append((1, np.concatenate([key[d:][pick], key[:-d][pick]], axis=1)))
+            ones = np.concatenate([b for k, b in found if k])
+            ones = np.where((ones[:, :16].copy().view(">u8")[:, :1] <= ones[:, 16:].copy().view(">u8")[:, :1]), ones, np.concatenate([ones[:, 16:], ones[:, :16]], axis=1))
+            for kind, both in ((0, found[0][1]), (1, np.ascontiguousarray(ones))):
+                if len(both):
+                    both = distinct(np.ascontiguousarray(both))
+                    yield pa.RecordBatch.from_arrays([_key_array(both[:, :16]), _key_array(both[:, 16:]), pa.array(np.full(len(both), kind, np.int32))], names=["key", "leader", "kind"])
+            bands, keys, leads = band[-near:].copy(), key[-near:].copy(), lead[-near:].copy()
+
+    return run
 
 
 def _verify(words: int, threshold: float):
@@ -183,23 +214,41 @@ def _verify(words: int, threshold: float):
     return run
 
 
-def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, registers: int = REGISTERS, bands: int = BANDS, salt_every: int = SALT_EVERY) -> DataFrame:
-    """key, leader, similarity of the compared pairs of different texts that reach the threshold; a written table."""
-    spark, n = docs.sparkSession, partitions(docs.sparkSession)
-    texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").where("text <> ''")
-    dealt = texts.mapInArrow(lean(_bands(words, registers, bands)), "band long, ord long, key binary").repartition(n, "band").sortWithinPartitions("band", "ord")
-    at = shared_dir(spark, "near-pairs")
-    dealt.mapInArrow(lean(_pairs), "key binary, leader binary").distinct().write.parquet(at)
-    pairs = spark.read.parquet(at)
+def verify(texts: DataFrame, pairs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, salt_every: int = SALT_EVERY) -> DataFrame:
+    """key, leader, similarity of the pairs (key, leader) of texts (key, text) that reach the threshold; a written table. A
+    leader's text goes to each salt of its members once and is held while they stream by."""
+    n = partitions(texts.sparkSession)
     degree = pairs.groupBy("leader").agg(F.ceil(F.count("*") / salt_every).alias("salts"))
     members = pairs.join(degree, "leader").select("key", "leader", F.pmod(F.xxhash64("key"), F.col("salts")).alias("salt"), F.lit(1).alias("role"))
     leaders = degree.select(F.col("leader").alias("key"), "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))
     asked = members.unionByName(leaders)
     sent = texts.dropDuplicates(["key"]).join(asked.hint("shuffle_hash"), "key")
     sent = sent.select("leader", "salt", "role", "key", "text").repartition(n, "leader", "salt").sortWithinPartitions("leader", "salt", "role")
-    at = shared_dir(spark, "near-links")
+    at = shared_dir(texts.sparkSession, "near-links")
     sent.mapInArrow(lean(_verify(words, threshold)), "key binary, leader binary, similarity double").write.parquet(at)
-    return spark.read.parquet(at)
+    return texts.sparkSession.read.parquet(at)
+
+
+def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, registers: int = REGISTERS, bands: int = BANDS, salt_every: int = SALT_EVERY, near: int = NEAR) -> DataFrame:
+    """key, leader, similarity of verified pairs of different texts, enough to join every class."""
+    spark, n = docs.sparkSession, partitions(docs.sparkSession)
+    texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").where("text <> ''")
+    dealt = texts.mapInArrow(lean(_bands(words, registers, bands)), "band long, ord long, key binary").repartition(n, "band").sortWithinPartitions("band", "ord")
+    at = shared_dir(spark, "near-pairs")
+    pairs = dealt.mapInArrow(lean(_pairs(near)), "key binary, leader binary, kind int").groupBy("key", "leader").agg(F.min("kind").alias("kind"))
+    pairs.write.parquet(at)
+    pairs = spark.read.parquet(at)
+    found = verify(texts, pairs.where("kind = 0").drop("kind"), words, threshold, salt_every)
+    root = components(found, "key", "leader")
+    side = lambda c: root.select(F.col("id").alias(c), F.col("root").alias(f"{c}_root"))
+    rest = pairs.where("kind = 1").drop("kind").join(side("key"), "key", "left").join(side("leader"), "leader", "left")
+    rest = rest.where(F.coalesce("key_root", "key") != F.coalesce("leader_root", "leader")).select("key", "leader")
+    at = shared_dir(spark, "near-rest")
+    rest.write.parquet(at)
+    rest = spark.read.parquet(at)
+    if not rest.limit(1).count():
+        return found
+    return found.unionByName(verify(texts, rest, words, threshold, salt_every))
 
 
 def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
