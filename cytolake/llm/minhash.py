@@ -150,15 +150,17 @@ def _bands(words: int, registers: int, bands: int):
     return run
 
 
-def _pairs(near: int):
-    """Of rows sorted by band and order: each text with the first of its band (kind 0) and with the near ones before it (kind 1)."""
+def _pairs(near: int, salt_every: int):
+    """Of rows sorted by band and order: each text with the first of its band (kind 0) and with the near ones before it
+    (kind 1). salt numbers the runs of salt_every rows of a band, which go to the leader by themselves."""
 
-    def distinct(both: np.ndarray) -> np.ndarray:
+    def emit(kind: int, both: np.ndarray, salt: np.ndarray) -> pa.RecordBatch:
         w = both.view("<u8")
-        return both[np.unique(mix(mix(w[:, 0]) + w[:, 1] + mix(w[:, 2] * np.uint64(BASE)) * np.uint64(3) + w[:, 3]), return_index=True)[1]]
+        one = np.unique(mix(mix(w[:, 0]) + w[:, 1] + mix(w[:, 2] * np.uint64(BASE)) * np.uint64(3) + w[:, 3]), return_index=True)[1]
+        return pa.RecordBatch.from_arrays([_key_array(both[one, :16]), _key_array(both[one, 16:]), pa.array(np.full(len(one), kind, np.int32)), pa.array(salt[one])], names=["key", "leader", "kind", "salt"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, keys, leads = np.zeros(0, np.int64), np.zeros((0, 16), np.uint8), np.zeros((0, 16), np.uint8)
+        bands, keys, leads, seen = np.zeros(0, np.int64), np.zeros((0, 16), np.uint8), np.zeros((0, 16), np.uint8), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -169,21 +171,26 @@ def _pairs(near: int):
             band, key = band[~again], key[~again]
             first = np.append(True, band[1:] != band[:-1])
             at = np.maximum.accumulate(np.where(first, np.arange(len(band)), 0))
-            lead = key[at]
+            lead, place = key[at], np.arange(len(band)) - at
             if old:  # rows that go on the band that the last batch ended in
                 lead[:old] = leads
-                lead[band == bands[-1]] = leads[-1]
+                on = band == bands[-1]
+                lead[on] = leads[-1]
+                place[on] = seen + np.arange(int(on.sum())) - int(on[:old].sum())
             new = np.arange(len(band)) >= old
-            found = [(0, np.concatenate([key, lead], axis=1)[new & (key != lead).any(1)])]
+            ask = np.flatnonzero(new & (key != lead).any(1))
+            if len(ask):
+                yield emit(0, np.concatenate([key[ask], lead[ask]], axis=1), place[ask] // salt_every)
+            ones = [np.zeros((0, 32), np.uint8)]
             for d in range(1, near + 1):
                 pick = np.flatnonzero(new[d:] & (band[d:] == band[:-d]) & (key[:-d] != lead[d:]).any(1))
-                found.append((1, np.concatenate([key[d:][pick], key[:-d][pick]], axis=1)))
-            ones = np.concatenate([b for k, b in found if k])
-            ones = np.where((ones[:, :16].copy().view(">u8")[:, :1] <= ones[:, 16:].copy().view(">u8")[:, :1]), ones, np.concatenate([ones[:, 16:], ones[:, :16]], axis=1))
-            for kind, both in ((0, found[0][1]), (1, np.ascontiguousarray(ones))):
-                if len(both):
-                    both = distinct(np.ascontiguousarray(both))
-                    yield pa.RecordBatch.from_arrays([_key_array(both[:, :16]), _key_array(both[:, 16:]), pa.array(np.full(len(both), kind, np.int32))], names=["key", "leader", "kind"])
+                ones.append(np.concatenate([key[d:][pick], key[:-d][pick]], axis=1))
+            ones = np.concatenate(ones)
+            if len(ones):
+                turned = ones[:, :16].copy().view(">u8")[:, :1] > ones[:, 16:].copy().view(">u8")[:, :1]
+                ones = np.ascontiguousarray(np.where(turned, np.concatenate([ones[:, 16:], ones[:, :16]], axis=1), ones))
+                yield emit(1, ones, np.zeros(len(ones), np.int64))
+            seen = int(place[-1]) + 1
             bands, keys, leads = band[-near:].copy(), key[-near:].copy(), lead[-near:].copy()
 
     return run
@@ -214,13 +221,12 @@ def _verify(words: int, threshold: float):
     return run
 
 
-def verify(texts: DataFrame, pairs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, salt_every: int = SALT_EVERY) -> DataFrame:
-    """key, leader, similarity of the pairs (key, leader) of texts (key, text) that reach the threshold; a written table. A
-    leader's text goes to each salt of its members once and is held while they stream by."""
+def verify(texts: DataFrame, pairs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+    """key, leader, similarity of the pairs (key, leader, salt) of texts (key, text) that reach the threshold; a written
+    table. A leader's text goes to each salt of its members once and is held while they stream by."""
     n = partitions(texts.sparkSession)
-    degree = pairs.groupBy("leader").agg(F.ceil(F.count("*") / salt_every).alias("salts"))
-    members = pairs.join(degree, "leader").select("key", "leader", F.pmod(F.xxhash64("key"), F.col("salts")).alias("salt"), F.lit(1).alias("role"))
-    leaders = degree.select(F.col("leader").alias("key"), "leader", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))
+    members = pairs.select("key", "leader", "salt", F.lit(1).alias("role"))
+    leaders = pairs.select("leader", "salt").distinct().select(F.col("leader").alias("key"), "leader", "salt", F.lit(0).alias("role"))
     asked = members.unionByName(leaders)
     sent = texts.dropDuplicates(["key"]).join(asked.hint("shuffle_hash"), "key")
     sent = sent.select("leader", "salt", "role", "key", "text").repartition(n, "leader", "salt").sortWithinPartitions("leader", "salt", "role")
@@ -235,20 +241,20 @@ def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, reg
     texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").where("text <> ''")
     dealt = texts.mapInArrow(lean(_bands(words, registers, bands)), "band long, ord long, key binary").repartition(n, "band").sortWithinPartitions("band", "ord")
     at = shared_dir(spark, "near-pairs")
-    pairs = dealt.mapInArrow(lean(_pairs(near)), "key binary, leader binary, kind int").groupBy("key", "leader").agg(F.min("kind").alias("kind"))
+    pairs = dealt.mapInArrow(lean(_pairs(near, salt_every)), "key binary, leader binary, kind int, salt long").groupBy("key", "leader").agg(F.min(F.struct("kind", "salt")).alias("m")).select("key", "leader", "m.kind", "m.salt")
     pairs.write.parquet(at)
     pairs = spark.read.parquet(at)
-    found = verify(texts, pairs.where("kind = 0").drop("kind"), words, threshold, salt_every)
+    found = verify(texts, pairs.where("kind = 0").drop("kind"), words, threshold)
     root = components(found, "key", "leader")
     side = lambda c: root.select(F.col("id").alias(c), F.col("root").alias(f"{c}_root"))
     rest = pairs.where("kind = 1").drop("kind").join(side("key"), "key", "left").join(side("leader"), "leader", "left")
-    rest = rest.where(F.coalesce("key_root", "key") != F.coalesce("leader_root", "leader")).select("key", "leader")
+    rest = rest.where(F.coalesce("key_root", "key") != F.coalesce("leader_root", "leader")).select("key", "leader", "salt")
     at = shared_dir(spark, "near-rest")
     rest.write.parquet(at)
     rest = spark.read.parquet(at)
     if not rest.limit(1).count():
         return found
-    return found.unionByName(verify(texts, rest, words, threshold, salt_every))
+    return found.unionByName(verify(texts, rest, words, threshold))
 
 
 def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
