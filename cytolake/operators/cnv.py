@@ -29,9 +29,10 @@ def sliding_mean(df: DataFrame, by: list[str], order: list[str], value: str, siz
     return g.select(*by, F.inline(rows))
 
 
-def _smooth(index: pd.DataFrame, mean: np.ndarray, size: int, least: int = 3):
+def _smooth(index: pd.DataFrame, mean: np.ndarray, size: int, with_profile: bool, least: int = 3):
     """Of stored values by cell: the smoothed, centred profile and its variance. index: gene_id, pos, chromosome, by position."""
-    pos = dict(zip(index["gene_id"], index["pos"], strict=True))
+    order = np.argsort(index["gene_id"].to_numpy(), kind="stable")
+    ids = index["gene_id"].to_numpy()[order]
     chrom = index["chromosome"].to_numpy()
     edges = np.flatnonzero(np.append(True, chrom[1:] != chrom[:-1])).tolist() + [len(chrom)]
 
@@ -53,17 +54,18 @@ def _smooth(index: pd.DataFrame, mean: np.ndarray, size: int, least: int = 3):
             for at in range(0, len(pdf), 256):
                 part = pdf.iloc[at : at + 256]
                 x = np.tile(-mean, (len(part), 1))
-                for i, (genes, values) in enumerate(zip(part["genes"], part["values"], strict=True)):
-                    for g, v in zip(genes, values, strict=True):
-                        x[i, pos[g]] += v
+                size = part["genes"].map(len).to_numpy()
+                if size.sum():
+                    genes, values = np.concatenate(part["genes"].to_numpy()), np.concatenate(part["values"].to_numpy())
+                    x[np.repeat(np.arange(len(part)), size), order[np.searchsorted(ids, genes.astype(ids.dtype))]] += values
                 p = profile(x)
-                yield pd.DataFrame({"cell_id": part["cell_id"].to_numpy(), "cnv_score": p.var(axis=1), "profile": list(p)})
+                yield pd.DataFrame({"cell_id": part["cell_id"].to_numpy(), "cnv_score": p.var(axis=1)} | ({"profile": list(p)} if with_profile else {}))
 
     return run
 
 
-def window_cnv(expr: DataFrame, cells: DataFrame, genes: DataFrame, size: int = 100, reference: str | None = None, least_genes: int = 100, least_reference: int = 10) -> DataFrame:
-    """cell_id, cnv_score (population variance of the profile), profile (smoothed centred values by chromosome, start, gene).
+def window_cnv(expr: DataFrame, cells: DataFrame, genes: DataFrame, size: int = 100, reference: str | None = None, least_genes: int = 100, least_reference: int = 10, with_profile: bool = True) -> DataFrame:
+    """cell_id, cnv_score (population variance of the profile), profile (smoothed centred values by chromosome, start, gene; left out without with_profile).
 
     The centre of a gene is its mean over the reference cells (all, if these are too few), zeros included. A cell is one
     row: its stored values meet the centres, as wide as the genes, in Arrow batches. Cells without values get the empty profile."""
@@ -82,7 +84,7 @@ def window_cnv(expr: DataFrame, cells: DataFrame, genes: DataFrame, size: int =
     x = expr.join(known, "gene_id", "left_semi").groupBy("cell_id").agg(F.collect_list("gene_id").alias("genes"), F.collect_list("value").alias("values"))
     empty = F.array().cast("array<long>")
     x = cells.select("cell_id").join(x, "cell_id", "left").select("cell_id", F.coalesce("genes", empty).alias("genes"), F.coalesce("values", F.array().cast("array<double>")).alias("values"))
-    return x.mapInPandas(_smooth(index, mean, size), "cell_id long, cnv_score double, profile array<double>")
+    return x.mapInPandas(_smooth(index, mean, size, with_profile), "cell_id long, cnv_score double" + ", profile array<double>" * with_profile)
 
 
 def classify(scores: DataFrame, percentile: float = 75) -> DataFrame:
