@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 
 def read_events(spark: SparkSession, sf_dir: str, per_trigger: int = 1) -> DataFrame:
-    """The events files as a stream; the schema comes from the files that are there."""
+    """The events files as a stream; the schema comes from the files that are there. A stream reads folders: of a single file, that file of its folder."""
     path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", "*.parquet").parquet(path if spark.read.parquet(path).inputFiles()[0] != path else sf_dir)
+    batch = spark.read.parquet(path)
+    alone = batch.inputFiles()[0].endswith("/events.parquet")
+    stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", per_trigger).option("pathGlobFilter", "events.parquet" if alone else "*.parquet")
+    return stream.parquet(sf_dir if alone else path)
 
 
 def window_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:

@@ -152,9 +152,15 @@ def test_failures(spark, tmp_path):
 def test_streaming(spark, sf_dir, tmp_path):
     batch = spark.read.parquet(f"{sf_dir}/events.parquet")
     batch.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
-    for name, make in (("counts", events.window_counts), ("sess", events.sessions)):
-        q = make(events.read_events(spark, str(tmp_path))).writeStream.format("memory").queryName(name).outputMode("complete" if name == "counts" else "append").trigger(availableNow=True).start()
+    batch.coalesce(1).write.parquet(f"{tmp_path}/one")
+    part = next((tmp_path / "one").glob("part-*.parquet"))
+    (tmp_path / "alone").mkdir()
+    part.rename(tmp_path / "alone" / "events.parquet")
+    for name, make, at in (("counts", events.window_counts, tmp_path), ("counts", events.window_counts, tmp_path / "alone"), ("sess", events.sessions, tmp_path)):
+        q = make(events.read_events(spark, str(at))).writeStream.format("memory").queryName(name).outputMode("complete" if name == "counts" else "append").trigger(availableNow=True).start()
         q.awaitTermination(120)
+        if name == "counts":
+            assert spark.table("counts").agg(F.sum("n")).first()[0] == batch.count()
     got = {(r.start, r.event_type): r.n for r in spark.table("counts").collect()}
     want = batch.withColumn("at", F.col("ts").cast("timestamp")).groupBy(F.window("at", "1 hour").alias("w"), "event_type").count()
     assert got == {(r.w.start, r.event_type): r["count"] for r in want.collect()}
