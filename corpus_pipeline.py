@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which one language holds half the letters or more; those without a letter go."""
+    """Documents of which one language holds a fair share of the letters; those without a letter, and mere mixtures, go."""
     return langid.keep(docs, langid.fit(langid.may_learn(docs)))
 
 

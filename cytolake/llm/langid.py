@@ -33,6 +33,8 @@ BITS = 16
 SWITCH = 12.0
 SCRIPT_SHARE = 0.01
 RUN = 512
+#: Least share of a document's letters that its language must hold for keep().
+LEAST_SHARE = 0.3
 #: First code points of the script ranges of Unicode's block chart, with the script of each range.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"), (0x0900, "devanagari"), (0x0980, "indic"), (0x0E00, "thai"), (0x0E80, "lao"),
@@ -254,7 +256,7 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, with_spans:
     return docs_of(docs).mapInArrow(lean(_identify(sent, switch, None, with_spans)), "doc_id long, lang_pred string, score double, spans array<struct<lang:string,start:bigint,end:bigint>>")
 
 
-def keep(docs: DataFrame, model: Model, least: float = 0.5, switch: float = SWITCH) -> DataFrame:
+def keep(docs: DataFrame, model: Model, least: float = LEAST_SHARE, switch: float = SWITCH) -> DataFrame:
     """The rows of docs, with all their columns, of which one language holds at least that share of the letters."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     return docs.where("text is not null").mapInArrow(lean(_identify(sent, switch, least, False)), docs.schema)
