@@ -305,3 +305,63 @@ def test_pipeline_empty(spark, tmp_path):
         assert out.count() == 0
         if name != "packing":
             assert out.columns == empty.columns
+
+
+def test_anchors_of_long_texts(monkeypatch):
+    """A text cut into stretches gives each window the anchor that it has in the whole text."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("abcd"), 5000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    spread = lambda rows: sorted((s, h, a) for h, a, p, q in rows for s in range(p, q + 1))
+    h, _, a, p, q = suffix.anchors(data, np.array([0, len(data)]), 24, 8)
+    want = spread(zip(h.tolist(), a.tolist(), p.tolist(), q.tolist(), strict=True))
+    assert [s for s, _, _ in want] == list(range(5000 - 23))
+    monkeypatch.setattr(suffix, "BUFFER_BYTES", 700)
+    batch = pa.RecordBatch.from_pydict({"key": pa.array([b"k" * 16], pa.binary()), "text": [text], "n": [1]})
+    got = [(r["h"], x["a"], x["p"], x["q"]) for b in suffix._anchor_rows(24, 8)(iter([batch])) for r in b.to_pylist() for x in r["runs"]]
+    assert spread(got) == want
+
+
+def test_window_minimum():
+    rng = np.random.default_rng(4)
+    for n, size in ((1, 1), (10, 3), (57, 8), (5, 9)):
+        x = rng.integers(0, 50, n).astype(np.uint64)
+        assert suffix.window_minimum(x, size).tolist() == [int(x[i : i + size].min()) for i in range(n - size + 1)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_streams_over_batches(seed):
+    """Sorted streams give the same rows however they are cut into batches."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(seed)
+    cut = lambda n: sorted({0, n, *rng.integers(0, n, 6).tolist()})
+    h = np.sort(rng.integers(0, 25, 40))
+    runs = [[{"a": int(i), "p": 0, "q": 1}] * int(rng.integers(1, 3)) for i in range(40)]
+    kind = pa.list_(suffix._RUN)
+    rows = pa.RecordBatch.from_arrays([pa.array(h), pa.array([b"k" * 16] * 40, pa.binary()), pa.array(runs, kind)], names=["h", "key", "runs"])
+    c = cut(40)
+    got = [(r["h"], r["runs"][0]["a"]) for b in suffix._repeated(iter([rows.slice(x, y - x) for x, y in zip(c, c[1:])])) for r in b.to_pylist()]
+    assert got == [(int(h[i]), i) for i in range(40) if (h == h[i]).sum() > 1 or len(runs[i]) > 1]
+
+    n, near = 60, 3
+    band = np.sort(rng.integers(0, 9, n))
+    names = rng.integers(0, 12, n)
+    order = np.lexsort((names, band))
+    band, names = band[order], names[order]
+    key = [int(k).to_bytes(1, "big") * 16 for k in names]
+    rows = pa.RecordBatch.from_pydict({"band": pa.array(band), "ord": pa.array(names), "key": pa.array(key, pa.binary())})
+    c = cut(n)
+    got = {0: set(), 1: set()}
+    for b in minhash._pairs(near, 4)(iter([rows.slice(x, y - x) for x, y in zip(c, c[1:])])):
+        for r in b.to_pylist():
+            got[r["kind"]].add((r["key"][0], r["leader"][0], r["salt"]))
+    lead, other = set(), set()
+    for k in np.unique(band):
+        mine = list(dict.fromkeys(names[band == k].tolist()))
+        lead |= {(m, mine[0], i // 4) for i, m in enumerate(mine) if i}
+        other |= {(*sorted((m, mine[i - d])), 0) for i, m in enumerate(mine) for d in range(1, near + 1) if i - d > 0}
+    assert {x[:2] for x in got[0]} == {x[:2] for x in lead} and got[0] <= lead
+    assert {tuple(sorted(x[:2])) for x in got[1]} == {x[:2] for x in other}
