@@ -670,7 +670,7 @@ def absolute_ranking(s, d):
     return r6(views.absolute_ranking(_scores(s, d)[0], "set_name", "score"), "strength")
 
 
-@query("""WITH t AS (SELECT doc_id, 'see doi 10.' || (1000 + doc_id) || '/abc.' || doc_id || '. And 10.12345/x-y_' || doc_id || ', too' AS text FROM documents)
+@query(r"""WITH t AS (SELECT doc_id, 'see doi 10.' || (1000 + doc_id) || '/abc.' || doc_id || '. And 10.12345/x-y_' || doc_id || ', too' AS text FROM documents)
 SELECT doc_id, list_transform(regexp_extract_all(text, '10\.[0-9]{4,9}/[-._;()/:A-Za-z0-9]+'), lambda x: regexp_replace(x, '[.,;)]+$', ''))::VARCHAR AS dois FROM t""", views=False)
 def doi_extract(s, d):
     i = F.col("doc_id").cast("string")

@@ -7,6 +7,8 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -227,8 +229,7 @@ def direction_consistency(ref: DataFrame, cand: DataFrame) -> DataFrame:
 
 def nearest_centroid(vectors: DataFrame, labels: DataFrame) -> DataFrame:
     """id, label of the nearest mean vector; of equally near ones the least label. vectors: id, vec; labels: id, label. Labels are few."""
-    c = vectors.join(labels, "id").select("label", F.posexplode("vec").alias("pos", "v")).groupBy("label", "pos").agg(F.avg("v").alias("v"))
-    c = c.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("c")).select("label", F.transform("c", lambda s: s["v"]).alias("c"))
+    c = vectors.join(labels, "id").groupBy("label").agg(vector_to_array(Summarizer.mean(array_to_vector("vec"))).alias("c"))
     table = c.agg(F.array_sort(F.collect_list(F.struct("label", "c"))).alias("cs"))
     d2 = lambda s: F.aggregate(F.zip_with("vec", s["c"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v)
     best = F.array_min(F.transform("cs", lambda s: F.struct(F.round(d2(s), 9).alias("d"), s["label"].alias("label"))))
