@@ -153,8 +153,10 @@ def hierarchical_clones(profiles: DataFrame, limit: int = 10_000, sample: int =
     """cell_id, clone of Ward clustering on the profiles' correlation. Beyond limit cells, a sample of fixed size (by hash of the cell) is clustered on the driver, and the others go to the nearest mean profile."""
     n = profiles.count()
     big = n > limit
-    rows = profiles.select("cell_id", "profile").orderBy(F.md5(F.col("cell_id").cast("string"))).limit(sample) if n > sample else profiles.select("cell_id", "profile").orderBy("cell_id")
-    pdf = rows.toPandas()
+    rows = profiles.select("cell_id", "profile")
+    if n > sample:  # the narrow ids are ordered, so that only the sample's profiles travel
+        rows = rows.join(F.broadcast(profiles.select("cell_id").orderBy(F.md5(F.col("cell_id").cast("string"))).limit(sample)), "cell_id", "left_semi")
+    pdf = rows.toPandas().sort_values("cell_id", ignore_index=True)
     k = min(6, max(2, int((n / (500 if big else 200)) ** 0.5)))
     if len(pdf) < k:
         return profiles.select("cell_id", F.lit("Clone_1").alias("clone"))
