@@ -8,12 +8,15 @@ of equal registers estimates the probability Jaccard similarity. Bands of regist
 In a bucket each text is paired with the bucket's leader and with the NEAR texts before it; four orders of texts take
 turns over the bands, so that a text meets several leaders and neighbours, and small buckets have all their pairs.
 First the pairs with leaders are verified, by the exact probability Jaccard similarity of the whole texts; then those
-other pairs whose texts are not in one class yet. Classes are the connected components of the verified pairs, so no
-bucket needs all pairs.
+other pairs whose texts are not in one class yet. Buckets of more than NEAR + 1 texts that then still hold texts of
+several classes are cut into blocks of BLOCK texts, and every pair of blocks is searched for pairs of different classes:
+so each pair of a bucket is verified, or its texts are in one class already. Classes are the connected components of
+the verified pairs.
 
 Equal texts collapse first, by digest, with partial aggregation, so that a large group of copies costs one text. A
 bucket is read as a sorted stream and needs no memory; a leader with many members is repeated for each SALT_EVERY
-of them. Components come from joins on written tables; nothing of them reaches the driver but a count.
+of them. A pair of blocks is a task's unit of work; the number of them grows with the square of a bucket that no class
+joins, and only of such a bucket. Components come from joins on written tables; nothing of them reaches the driver but a count.
 
 Edge cases: null text counts as empty; texts without words are alike only to equal ones; equal texts, empty ones
 too, are always one class; class_id is the least doc_id of the class (nulls aside, null if there is none); repeated
@@ -27,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytolake.llm.common import BASE, GOLDEN, buffer_of, docs_of, lean, mix, partitions, prefix_hash, range_hash, shared_dir, slices, table, window_hash, word_spans
@@ -35,6 +39,8 @@ WORDS, THRESHOLD = 5, 0.8
 REGISTERS, BANDS = 128, 32
 SALT_EVERY = 512
 NEAR = 8
+#: Texts in a block of a large bucket.
+BLOCK = 128
 #: Keys that a task remembers, to send a text that it meets again once.
 SEEN_KEYS = 200_000
 
@@ -144,7 +150,7 @@ def _bands(words: int, registers: int, bands: int):
             for i in range(sig.shape[2]):
                 h = (h * np.uint64(BASE)) + mix(sig[:, :, i])
             keys = key[some]
-            order = keys.view("<u8")[:, :1] ^ turn
+            order = mix(keys.view("<u8")[:, :1] ^ turn)
             yield pa.RecordBatch.from_arrays([pa.array(mix(h.reshape(-1)).view(np.int64)), pa.array(order.reshape(-1).view(np.int64)), _key_array(np.repeat(keys, bands, axis=0))], names=["band", "ord", "key"])
 
     return run
@@ -152,7 +158,8 @@ def _bands(words: int, registers: int, bands: int):
 
 def _pairs(near: int, salt_every: int):
     """Of rows sorted by band and order: each text with the first of its band (kind 0) and with the near ones before it
-    (kind 1). salt numbers the runs of salt_every rows of a band, which go to the leader by themselves."""
+    (kind 1). salt numbers the runs of salt_every rows of a band, which go to the leader by themselves. Each text of a
+    band with pairs that are neither is a row with its band as salt (kind 2)."""
 
     def emit(kind: int, both: np.ndarray, salt: np.ndarray) -> pa.RecordBatch:
         w = both.view("<u8")
@@ -190,6 +197,12 @@ def _pairs(near: int, salt_every: int):
                 turned = ones[:, :16].copy().view(">u8")[:, :1] > ones[:, 16:].copy().view(">u8")[:, :1]
                 ones = np.ascontiguousarray(np.where(turned, np.concatenate([ones[:, 16:], ones[:, :16]], axis=1), ones))
                 yield emit(1, ones, np.zeros(len(ones), np.int64))
+            late = np.flatnonzero(new & (place > near))
+            if len(late):
+                turn = late[place[late] == near + 1]  # the first row that proves its band large brings those before it
+                at = np.concatenate([late, (turn[:, None] - np.arange(1, near + 1)).reshape(-1)])
+                whole = _key_array(np.concatenate([key[at], lead[turn]]))
+                yield pa.RecordBatch.from_arrays([whole, whole, pa.array(np.full(len(whole), 2, np.int32)), pa.array(np.concatenate([band[at], band[turn]]))], names=["key", "leader", "kind", "salt"])
             seen = int(place[-1]) + 1
             bands, keys, leads = band[-near:].copy(), key[-near:].copy(), lead[-near:].copy()
 
@@ -235,14 +248,112 @@ def verify(texts: DataFrame, pairs: DataFrame, words: int = WORDS, threshold: fl
     return texts.sparkSession.read.parquet(at)
 
 
-def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, registers: int = REGISTERS, bands: int = BANDS, salt_every: int = SALT_EVERY, near: int = NEAR) -> DataFrame:
+def _within(x: list, y: list, same: bool, threshold: float) -> list[tuple[bytes, bytes, float]]:
+    """Links between texts (key, root, shingles, weights) of x and of y (or among x) that have different roots, enough to
+    join every pair that reaches the threshold. A shared shingle adds to the similarity at most its share of either
+    text, so only pairs whose shared shingles have the threshold's share of both texts are computed."""
+    sides = []
+    for z in (x, y):
+        elem, row = np.concatenate([t[2] for t in z]), np.repeat(np.arange(len(z)), [len(t[2]) for t in z])
+        sides.append((elem, row, np.concatenate([t[3] / t[3].sum() for t in z])))
+    both = np.intersect1d(sides[0][0], sides[1][0])
+    mass = [np.zeros((len(x), len(y))), np.zeros((len(x), len(y)))]
+    for i in range(0, len(both), 4096):
+        some, dense = both[i : i + 4096], []
+        for (elem, row, share), z in zip(sides, (x, y), strict=True):
+            at = np.minimum(np.searchsorted(some, elem), len(some) - 1)
+            on = some[at] == elem
+            d = np.zeros((len(z), len(some)))
+            d[row[on], at[on]] = share[on]
+            dense.append(d)
+        mass[0] += dense[0] @ (dense[1] > 0).T
+        mass[1] += (dense[0] > 0).astype(float) @ dense[1].T
+    bound = np.minimum(*mass)
+    one, two = np.nonzero(bound >= threshold - 1e-9)
+    if same:
+        one, two = one[one < two], two[one < two]
+    up: dict[bytes, bytes] = {}
+
+    def find(r: bytes) -> bytes:
+        while r in up:
+            r = up[r]
+        return r
+
+    found = []
+    for k in np.argsort(-bound[one, two], kind="stable"):
+        s, t = x[one[k]], y[two[k]]
+        p, q = find(s[1]), find(t[1])
+        if p != q:
+            similar = probability_jaccard(s[2], s[3], t[2], t[3])
+            if similar >= threshold - 1e-12:
+                up[p] = q
+                found.append((s[0], t[0], similar))
+    return found
+
+
+def _search(words: int, threshold: float):
+    def solve(held: list) -> Iterator[pa.RecordBatch]:
+        x, y = [t for side, *t in held if side == 0], [t for side, *t in held if side == 1]
+        found = _within(x, y or x, not y, threshold)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.binary(), pa.binary(), pa.float64()), strict=True)], names=["key", "leader", "similarity"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, []
+        for part in slices(batches, limit=1_000_000):
+            names = list(zip(*(part.column(c).to_pylist() for c in ("band", "a", "b")), strict=True))
+            side, key, root = (part.column(c).to_pylist() for c in ("side", "key", "root"))
+            elem, row, weight = weighted(*shingles(*buffer_of(part.column("text")), words))
+            edge = np.searchsorted(row, np.arange(part.num_rows + 1))
+            for i in range(part.num_rows):
+                if names[i] != group:
+                    if held:
+                        yield from solve(held)
+                    group, held = names[i], []
+                held.append((side[i], key[i], root[i], elem[edge[i] : edge[i + 1]], weight[edge[i] : edge[i + 1]]))
+        if held:
+            yield from solve(held)
+
+    return run
+
+
+def search(texts: DataFrame, members: DataFrame, root: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame | None:
+    """key, leader, similarity of verified pairs of texts (key, text) of one band in members (band, key), enough to join,
+    with the classes of root (id, root), all pairs of a band that reach the threshold; a written table, or None if all
+    bands are of one class each."""
+    spark = texts.sparkSession
+    named = members.join(root.select(F.col("id").alias("key"), "root"), "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
+    ends = [F.min("root").alias("lo"), F.max("root").alias("hi")]
+    mixed = named.groupBy("band").agg(*ends).where("lo <> hi").select("band")
+    place = F.row_number().over(W.partitionBy("band").orderBy("root", "key")) - 1  # classes side by side: their blocks need no search
+    at = shared_dir(spark, "near-blocks")
+    named.join(mixed, "band").withColumn("block", F.floor(place / block)).write.parquet(at)
+    placed = spark.read.parquet(at)
+    if not placed.limit(1).count():
+        return None
+    blocks = placed.groupBy("band", "block").agg(*ends)
+    side = lambda c: blocks.select("band", F.col("block").alias(c), F.col("lo").alias(f"{c}_lo"), F.col("hi").alias(f"{c}_hi"))
+    todo = side("a").join(side("b"), "band").where("a <= b and (a_lo <> a_hi or b_lo <> b_hi or a_lo <> b_lo)").select("band", "a", "b")
+    asked = placed.join(todo.withColumn("block", F.col("a")), ["band", "block"]).withColumn("side", F.lit(0))
+    asked = asked.unionByName(placed.join(todo.where("a < b").withColumn("block", F.col("b")), ["band", "block"]).withColumn("side", F.lit(1)))
+    sent = texts.dropDuplicates(["key"]).join(asked, "key").select("band", "a", "b", "side", "key", "root", "text")
+    sent = sent.repartition(partitions(spark), "band", "a", "b").sortWithinPartitions("band", "a", "b")
+    at = shared_dir(spark, "near-links")
+    sent.mapInArrow(lean(_search(words, threshold)), "key binary, leader binary, similarity double").write.parquet(at)
+    return spark.read.parquet(at)
+
+
+def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, registers: int = REGISTERS, bands: int = BANDS, salt_every: int = SALT_EVERY, near: int = NEAR, block: int = BLOCK) -> DataFrame:
     """key, leader, similarity of verified pairs of different texts, enough to join every class."""
     spark, n = docs.sparkSession, partitions(docs.sparkSession)
     texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").where("text <> ''")
     dealt = texts.mapInArrow(lean(_bands(words, registers, bands)), "band long, ord long, key binary").repartition(n, "band").sortWithinPartitions("band", "ord")
     at = shared_dir(spark, "near-pairs")
-    pairs = dealt.mapInArrow(lean(_pairs(near, salt_every)), "key binary, leader binary, kind int, salt long").groupBy("key", "leader").agg(F.min(F.struct("kind", "salt")).alias("m")).select("key", "leader", "m.kind", "m.salt")
-    pairs.write.parquet(at)
+    dealt.mapInArrow(lean(_pairs(near, salt_every)), "key binary, leader binary, kind int, salt long").write.parquet(at)
+    met = spark.read.parquet(at)
+    members = met.where("kind = 2").select(F.col("salt").alias("band"), "key")
+    at = shared_dir(spark, "near-pairs")
+    met.where("kind < 2").groupBy("key", "leader").agg(F.min(F.struct("kind", "salt")).alias("m")).select("key", "leader", "m.kind", "m.salt").write.parquet(at)
     pairs = spark.read.parquet(at)
     found = verify(texts, pairs.where("kind = 0").drop("kind"), words, threshold)
     root = components(found, "key", "leader")
@@ -252,14 +363,15 @@ def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, reg
     at = shared_dir(spark, "near-rest")
     rest.write.parquet(at)
     rest = spark.read.parquet(at)
-    if not rest.limit(1).count():
-        return found
-    return found.unionByName(verify(texts, rest, words, threshold))
+    if rest.limit(1).count():
+        found = found.unionByName(verify(texts, rest, words, threshold))
+    more = search(texts, members, root, words, threshold, block)
+    return found if more is None else found.unionByName(more)
 
 
 def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """id and root (the least id of its component) of each id in pairs. Least labels spread along pairs and jump to
-    their own labels' labels, over tables written each round, until no label falls."""
+    """id and root (the least id of its component) of each id in pairs. Least labels spread along pairs, to all
+    ids of the same label at once, and jump to their own labels' labels, over tables written each round, until no label falls."""
     spark = pairs.sparkSession
     both = pairs.select(F.col(a).alias("id"), F.col(b).alias("to")).union(pairs.select(F.col(b).alias("id"), F.col(a).alias("to"))).distinct()
     at = shared_dir(spark, "edges")
@@ -271,7 +383,9 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
         labels.write.parquet(at)
         labels = spark.read.parquet(at)
         near = both.join(labels.select(F.col("id").alias("to"), "root"), "to").groupBy("id").agg(F.min("root").alias("m"))
-        fell = labels.join(near, "id").select("id", F.col("root").alias("was"), F.least("root", "m").alias("root"))
+        met = labels.join(near, "id")
+        hook = met.groupBy("root").agg(F.min("m").alias("hook"))  # a chain takes few rounds
+        fell = met.join(hook, "root").select("id", F.col("root").alias("was"), F.least("root", "m", "hook").alias("root"))
         jump = labels.select(F.col("id").alias("root"), F.col("root").alias("next"))
         fell = fell.join(jump, "root", "left").select("id", "was", F.least("root", "next").alias("root"))
         at = shared_dir(spark, "labels")

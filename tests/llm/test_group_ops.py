@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -78,6 +79,41 @@ def test_near_duplicates_large_group(spark):
     assert all(got[1000 + i].class_id == 1000 + i for i in range(20))
 
 
+def test_near_duplicates_star_and_chain(spark):
+    """Over 300 texts that are each close to one or two others only, in buckets that hold very many of them."""
+    base = prose(21, 240, 100_000).split()
+    rows = [(0, " ".join(base))]
+    for i in range(1, 321):  # spokes: 4 words, at places of their own, differ from the base
+        w = list(base)
+        for j in range(4):
+            w[(i * 7 + j * 60 + (i // 60) * 13) % 240] = f"spoke{i}x{j}"
+        rows.append((i, " ".join(w)))
+    w = prose(22, 240, 100_000).split()
+    for i in range(320):  # links: each differs from the last by 3 words
+        w = list(w)
+        for j in range(3):
+            w[(i * 11 + j * 80) % 240] = f"link{i}x{j}"
+        rows.append((1000 + i, " ".join(w)))
+    sets = [set(shingle_counts(t)) for _, t in rows]  # no shingle repeats in a text: plain Jaccard
+    alike = lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    assert all(alike(0, i) for i in range(1, 321)) and sum(alike(1, i) for i in range(2, 321)) < 20
+    assert all(alike(i, i + 1) for i in range(321, 640)) and not any(alike(321, i) for i in range(330, 641))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for parameters in ({}, {"near": 1, "block": 16}):
+        got = minhash.near_duplicates(df, **parameters).groupBy("class_id").count().collect()
+        assert sorted(tuple(r) for r in got) == [(0, 321), (1000, 320)], parameters
+
+
+@pytest.mark.parametrize("n, near", [(12, 2), (3, 2), (40, 8)])
+def test_members_of_large_buckets(n, near):
+    """Every text of a bucket that has pairs with neither leader nor neighbours, whatever batches it comes in."""
+    keys = [bytes([i]) * 16 for i in range(n)]
+    for size in (1, 5, n + 3):
+        whole = pa.RecordBatch.from_arrays([pa.array([1] * n + [2] * 2), pa.array(list(range(n)) + [0, 1]), pa.array([*keys, keys[0], keys[1]], pa.binary())], names=["band", "ord", "key"])
+        out = [r for b in minhash._pairs(near, 512)(whole.slice(i, size) for i in range(0, n + 2, size)) for r in b.to_pylist() if r["kind"] == 2]
+        assert sorted((r["salt"], r["key"]) for r in out) == ([(1, k) for k in keys] if n > near + 1 else [])
+
+
 def test_signature_estimates_probability_jaccard():
     rng = np.random.default_rng(5)
     pool = rng.integers(1, 2**63, 400).astype(np.uint64)
