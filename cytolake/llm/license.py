@@ -6,6 +6,8 @@ The nearest templates, best first, are then held against the block word by word:
 in order, up to MAX_MISSING of them, without a deciding word (a version, a condition, a name) missing or added,
 is confirmed. Each line of a block is judged, and the block as a whole if no line is confirmed, so that neighbouring
 notices of different licences and notices that run over lines are both found. All blocks of a whole text are judged.
+Besides, each such line is judged with the lines around it, to the ends of its paragraph or as far as the longest wording
+reaches, for wordings that run over lines of which some name nothing; these are rows with the lines that they take.
 
 Edge cases: null and empty texts have no blocks; a block that no template fits is not a row unless
 `unconfirmed=True`, then with a null license_id; ties in saving go to the template that sorts first; repeated rows
@@ -17,6 +19,7 @@ from __future__ import annotations
 import difflib
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -93,6 +96,62 @@ def compressors() -> list[tuple[str, str, zstandard.ZstdCompressor]]:
     return out
 
 
+@functools.cache
+def wordings() -> list[tuple[str, str, list[str], Counter, zstandard.ZstdCompressor]]:
+    return [(name, wording, words_of(wording), Counter(words_of(wording)), c) for name, wording, c in compressors()]
+
+
+@functools.cache
+def reach() -> int:
+    """Words that a wording can take in a text, with those added."""
+    return int(max(len(t) for _, _, t, _, _ in wordings()) * (1 + MAX_EXTRA)) + 1
+
+
+def matched(template: list[str], block: list[str]) -> tuple[int, int]:
+    """Places of the block's first and last word that difference() matches."""
+    match = [m for m in difflib.SequenceMatcher(None, template, block, autojunk=False).get_matching_blocks() if m.size]
+    return match[0].b, match[-1].b + match[-1].size - 1
+
+
+def wrapped(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, str, tuple]]:
+    """First line, lines and judgement of each wording that runs over lines around one with a trigger. taken: first and
+    last line and licence of what is found already, which is not given again."""
+    find, lines = re.compile(TRIGGER).search, text.split("\n")
+    told = [i for i, x in enumerate(lines) if find(x)]
+    words = functools.cache(lambda i: words_of(lines[i]))
+    for i in told:
+        lo, n = i, 0
+        while lo > 0 and n < reach() and words(lo - 1):
+            lo -= 1
+            n += len(words(lo))
+        hi, n = i, 0
+        while hi + 1 < len(lines) and n < reach() and words(hi + 1):
+            hi += 1
+            n += len(words(hi))
+        if lo == hi:
+            continue
+        held = [w for j in range(lo, hi + 1) for w in words(j)]
+        line = [j for j in range(lo, hi + 1) for _ in words(j)]
+        have, got = Counter(held), []
+        for name, wording, t, count, c in wordings():
+            if (count - have).total() > MAX_MISSING * len(t):
+                continue
+            first, last = (line[k] for k in matched(t, held))
+            if first == last:
+                continue
+            block = "\n".join(lines[first : last + 1])
+            ok, missing, extra = confirmed(wording, block)
+            if ok:
+                raw = block.encode()
+                alone = len(zstandard.ZstdCompressor(level=19, write_checksum=False, write_content_size=False).compress(raw))
+                saved = alone - len(c.compress(raw))
+                got.append((-saved, name, wording, first, last, block, (name, alone, alone - saved, saved / alone, missing, extra)))
+        for _, name, _, first, last, block, row in sorted(got):
+            if not any(a <= last and first <= b and name == other for a, b, other in taken):
+                taken.append((first, last, name))
+                yield first, block, row
+
+
 def difference(template: list[str], block: list[str]) -> tuple[list[str], list[str]]:
     """Template words that the block lacks, and words between matched ones that the template lacks."""
     match = [m for m in difflib.SequenceMatcher(None, template, block, autojunk=False).get_matching_blocks() if m.size]
@@ -136,11 +195,14 @@ def _scan(unconfirmed: bool):
         for part in slices(batches):
             out = []
             for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                taken = []
                 for first, block in blocks(text):
                     lines = [(first + i, x, judge(x)) for i, x in enumerate(block.split("\n"))]
                     if not any(got[0] for _, _, got in lines):  # a wording that runs over lines
                         lines = [(first, block, judge(block))]
                     out += [(doc, line, *got, x) for line, x, got in lines if got[0] or unconfirmed]
+                    taken += [(line, line + x.count("\n"), got[0]) for line, x, got in lines if got[0]]
+                out += [(doc, line, *got, x) for line, x, got in wrapped(text, taken)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _OUT, strict=True)], schema=_OUT)
 

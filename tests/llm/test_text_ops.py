@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from cytolake.llm import bpe, langid, license, packing, quality
-from tests.llm.helpers import awkward, by_key, frame, ordered
+from tests.llm.helpers import awkward, by_key, frame, ordered, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -238,6 +238,37 @@ def test_license(spark, docs, empty):
     assert [r.license_id for r in license.scan(df).collect()] == ["MIT"]
 
 
+def test_license_wrapped_headers(spark):
+    """The standard 80-column MIT and BSD headers, plain and in comments, with lines that name nothing."""
+    mit = """MIT License
+
+Copyright (c) 2024 A. Author
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software."""
+    bsd = """Copyright (c) 2024, A. Author. All rights reserved.
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice."""
+    gpl = """This program is free software: you can
+redistribute it and/or modify it under the terms of the
+GNU General Public License as published by the Free Software
+Foundation, either version 3 of the License, or (at your
+option) any later version."""
+    comment = lambda t: "\n".join(f" * {x}" for x in t.split("\n"))
+    rows = [(1, mit), (2, bsd), (3, gpl), (4, comment(mit)), (5, comment(bsd)), (6, mit + "\n\n" + mit), (7, prose(40, 400) + "\n" + mit[mit.index("Permission") :])]
+    got = ordered(license.scan(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "first_line", "license_id")
+    assert got == [(1, 4, "MIT"), (2, 0, "Proprietary"), (2, 1, "BSD-3-Clause"), (3, 0, "GPL-3.0"), (4, 4, "MIT"), (5, 0, "Proprietary"), (5, 1, "BSD-3-Clause"), (6, 4, "MIT"), (6, 18, "MIT"), (7, 1, "MIT")]
+
+
 def test_license_whole_table(tables):
     lines = {"Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "All rights reserved.": "Proprietary"}
     want = {(r.doc_id, v) for r in tables["documents"].collect() for k, v in lines.items() if k in (r.text or "")}
