@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytolake.functions.numeric import digitize
+from cytolake.sources.shared import written
 
 
 def sliding_mean(df: DataFrame, by: list[str], order: list[str], value: str, size: int, mode: str = "nearest", out: str = "smoothed") -> DataFrame:
@@ -108,11 +110,27 @@ def clone_stats(cells: DataFrame) -> DataFrame:
     return s.join(kinds, "clone", "left").withColumn("fraction", F.col("n_cells") / F.sum("n_cells").over(W.partitionBy(F.lit(0))))  # one row a clone
 
 
+def correlation_distance(x: np.ndarray, rows: int = 1000) -> np.ndarray:
+    """Squared correlation distances of the rows of x, by blocks of rows."""
+    d = np.empty((len(x), len(x)))
+
+    def unit(i: int) -> np.ndarray:
+        y = x[i : i + rows].astype(float)
+        y -= y.mean(1, keepdims=True)
+        y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-300)
+        return y
+
+    for i in range(0, len(x), rows):
+        a = unit(i)
+        for j in range(0, i + 1, rows):
+            one = np.maximum(1 - a @ unit(j).T, 0) ** 2
+            d[i : i + rows, j : j + rows], d[j : j + rows, i : i + rows] = one, one.T
+    return d
+
+
 def ward(x: np.ndarray, n: int) -> np.ndarray:
     """Labels 1..n of Ward clustering on correlation distance, by nearest-neighbour chains."""
-    x = x - x.mean(1, keepdims=True)
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-    d = np.maximum(1 - x @ x.T, 0) ** 2
+    d = correlation_distance(x)
     m = len(d)
     np.fill_diagonal(d, np.inf)
     size, alive, merges, chain = np.ones(m), np.ones(m, bool), [], []
@@ -149,20 +167,40 @@ def ward(x: np.ndarray, n: int) -> np.ndarray:
     return np.array([names.setdefault(r, len(names) + 1) for r in roots])
 
 
-def hierarchical_clones(profiles: DataFrame, limit: int = 10_000, sample: int = 2_000) -> DataFrame:
-    """cell_id, clone of Ward clustering on the profiles' correlation. Beyond limit cells, a sample of fixed size (by hash of the cell) is clustered on the driver, and the others go to the nearest mean profile."""
+def _packed(batches):
+    for b in batches:
+        rows = [np.asarray(x, np.float32).tobytes() for x in (p.values.to_numpy(zero_copy_only=False) for p in b.column(1))]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], names=["cell_id", "profile"])
+
+
+def profile_matrix(profiles: DataFrame) -> tuple[list, np.ndarray]:
+    """Cells in order and their profiles in single precision, fetched a partition at a time."""
+    rows = written(profiles.select("cell_id", "profile").mapInArrow(_packed, f"cell_id {profiles.schema['cell_id'].dataType.simpleString()}, profile binary"), "profiles")
+    cells = sorted(r.cell_id for r in rows.select("cell_id").toLocalIterator())
+    place, x = {c: i for i, c in enumerate(cells)}, np.zeros((0, 0), np.float32)
+    for r in rows.toLocalIterator():
+        one = np.frombuffer(r.profile, np.float32)
+        if not x.size:
+            x = np.zeros((len(cells), len(one)), np.float32)
+        x[place[r.cell_id]] = one
+    return cells, x
+
+
+def hierarchical_clones(profiles: DataFrame, limit: int = 10_000, sample: int = 5_000) -> DataFrame:
+    """cell_id, clone of Ward clustering on the profiles' correlation. All cells are clustered on the driver up to limit
+    cells; beyond, a sample of fixed size (by hash of the cell), and the others go to the nearest mean profile."""
     n = profiles.count()
     big = n > limit
-    rows = profiles.select("cell_id", "profile")
-    if n > sample:  # the narrow ids are ordered, so that only the sample's profiles travel
-        rows = rows.join(F.broadcast(profiles.select("cell_id").orderBy(F.md5(F.col("cell_id").cast("string"))).limit(sample)), "cell_id", "left_semi")
-    pdf = rows.toPandas().sort_values("cell_id", ignore_index=True)
     k = min(6, max(2, int((n / (500 if big else 200)) ** 0.5)))
-    if len(pdf) < k:
+    if min(n, sample if big else n) < k:
         return profiles.select("cell_id", F.lit("Clone_1").alias("clone"))
-    labels = ward(np.stack(pdf["profile"]), k)
-    own = profiles.sparkSession.createDataFrame(pd.DataFrame({"cell_id": pdf["cell_id"], "clone": [f"Clone_{i}" for i in labels]}))
-    if n <= sample:
+    rows = profiles.select("cell_id", "profile")
+    if big:  # the narrow ids are ordered, so that only the sample's profiles travel
+        rows = rows.join(F.broadcast(profiles.select("cell_id").orderBy(F.md5(F.col("cell_id").cast("string"))).limit(sample)), "cell_id", "left_semi")
+    cells, x = profile_matrix(rows)
+    labels = ward(x, k)
+    own = profiles.sparkSession.createDataFrame(pd.DataFrame({"cell_id": cells, "clone": [f"Clone_{i}" for i in labels]}))
+    if not big:
         return own
     from cytolake.operators.neighbors import nearest_centroid
 

@@ -213,6 +213,20 @@ def test_window_cnv(spark):
         cnv.window_cnv(e, c, g.limit(50), 20)
 
 
+@pytest.mark.parametrize("parameters, seen", [({}, 2100), ({"limit": 500, "sample": 200}, 200)])
+def test_clones_cluster_all_cells_up_to_limit(spark, monkeypatch, parameters, seen):
+    rng = np.random.default_rng(3)
+    means = rng.normal(size=(3, 12))
+    x = (means[np.arange(2100) % 3] + 0.3 * rng.normal(size=(2100, 12))).astype(np.float32)
+    df = spark.createDataFrame([(f"c{i:04d}", v.tolist()) for i, v in enumerate(x)], "cell_id string, profile array<double>").repartition(3)
+    sizes, ward = [], cnv.ward
+    monkeypatch.setattr(cnv, "ward", lambda x, n: sizes.append(len(x)) or ward(x, n))
+    got = {r.cell_id: r.clone for r in cnv.hierarchical_clones(df, **parameters).collect()}
+    assert sizes == [seen] and len(got) == 2100
+    if seen == 2100:
+        assert [got[f"c{i:04d}"] for i in range(2100)] == [f"Clone_{i}" for i in ward(x, 3)]
+
+
 def test_linear_activity(spark):
     rng = np.random.default_rng(6)
     n, m = 10, 40
