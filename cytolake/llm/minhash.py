@@ -5,18 +5,16 @@ arrivals form a Poisson process whose rate is its weight; an arrival falls on a
 the earliest arrival's shingle, and a shingle stops once its next arrival is later than every register's. The share
 of equal registers estimates the probability Jaccard similarity. Bands of registers deal texts into buckets.
 
-In a bucket each text is paired with the bucket's leader and with the NEAR texts before it; four orders of texts take
-turns over the bands, so that a text meets several leaders and neighbours, and small buckets have all their pairs.
-First the pairs with leaders are verified, by the exact probability Jaccard similarity of the whole texts; then those
-other pairs whose texts are not in one class yet. Buckets of more than NEAR + 1 texts that then still hold texts of
-several classes are cut into blocks of BLOCK texts, and every pair of blocks is searched for pairs of different classes:
-so each pair of a bucket is verified, or its texts are in one class already. Classes are the connected components of
-the verified pairs.
+In a bucket each text is first paired with the bucket's leader alone; four orders of texts take turns over the bands,
+so that a text meets several leaders. These pairs are verified, by the exact probability Jaccard similarity of the whole
+texts, and joined to classes. A bucket whose other texts are then of one class is done: each of its pairs is verified, or
+its texts are in one class already. The texts of the others are cut into blocks of at most about BLOCK texts or BLOCK_BYTES,
+and every pair of blocks is searched for pairs of different classes. Classes are the connected components of the verified pairs.
 
 Equal texts collapse first, by digest, with partial aggregation, so that a large group of copies costs one text. A
 bucket is read as a sorted stream and needs no memory; a leader with many members is repeated for each SALT_EVERY
-of them. A pair of blocks is a task's unit of work; the number of them grows with the square of a bucket that no class
-joins, and only of such a bucket. Components come from joins on written tables; nothing of them reaches the driver but a count.
+of them. A pair of blocks is a task's unit of work, of bounded memory; the number of them grows with the square of the blocks
+of a bucket that no class joins, and only of such a bucket. Components come from joins on written tables; nothing of them reaches the driver but a count.
 
 Edge cases: null text counts as empty; texts without words are alike only to equal ones; equal texts, empty ones
 too, are always one class; class_id is the least doc_id of the class (nulls aside, null if there is none); repeated
@@ -30,17 +28,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import BASE, GOLDEN, buffer_of, docs_of, lean, mix, partitions, prefix_hash, range_hash, shared_dir, slices, table, window_hash, word_spans
+from cytolake.llm.common import BASE, GOLDEN, buffer_of, docs_of, lean, mix, partitions, prefix_hash, ragged, range_hash, shared_dir, slices, table, window_hash, word_spans
 
 WORDS, THRESHOLD = 5, 0.8
 REGISTERS, BANDS = 128, 32
 SALT_EVERY = 512
-NEAR = 8
-#: Texts in a block of a large bucket.
-BLOCK = 128
+#: Texts, and bytes of text, in a block of a bucket that holds several classes.
+BLOCK, BLOCK_BYTES = 512, 2_000_000
 #: Keys that a task remembers, to send a text that it meets again once.
 SEEN_KEYS = 200_000
 
@@ -156,55 +152,30 @@ def _bands(words: int, registers: int, bands: int):
     return run
 
 
-def _pairs(near: int, salt_every: int):
-    """Of rows sorted by band and order: each text with the first of its band (kind 0) and with the near ones before it
-    (kind 1). salt numbers the runs of salt_every rows of a band, which go to the leader by themselves. Each text of a
-    band with pairs that are neither is a row with its band as salt (kind 2)."""
-
-    def emit(kind: int, both: np.ndarray, salt: np.ndarray) -> pa.RecordBatch:
-        w = both.view("<u8")
-        one = np.unique(mix(mix(w[:, 0]) + w[:, 1] + mix(w[:, 2] * np.uint64(BASE)) * np.uint64(3) + w[:, 3]), return_index=True)[1]
-        return pa.RecordBatch.from_arrays([_key_array(both[one, :16]), _key_array(both[one, 16:]), pa.array(np.full(len(one), kind, np.int32)), pa.array(salt[one])], names=["key", "leader", "kind", "salt"])
+def _pairs(salt_every: int):
+    """Of rows sorted by band and order: a row for each text of a band but the first, with the first as its leader. salt
+    numbers the runs of salt_every rows of a band, which go to the leader by themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, keys, leads, seen = np.zeros(0, np.int64), np.zeros((0, 16), np.uint8), np.zeros((0, 16), np.uint8), 0
+        last, lead, held, seen = None, None, None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            old = len(bands)
-            band, key = np.concatenate([bands, batch.column(0).to_numpy()]), np.concatenate([keys, _keys(batch.column(2))])
+            band, key = batch.column(0).to_numpy(), _keys(batch.column(2))
             again = np.append(False, (band[1:] == band[:-1]) & (key[1:] == key[:-1]).all(1))
-            again[:old] = False
-            band, key = band[~again], key[~again]
-            first = np.append(True, band[1:] != band[:-1])
-            at = np.maximum.accumulate(np.where(first, np.arange(len(band)), 0))
-            lead, place = key[at], np.arange(len(band)) - at
-            if old:  # rows that go on the band that the last batch ended in
-                lead[:old] = leads
-                on = band == bands[-1]
-                lead[on] = leads[-1]
-                place[on] = seen + np.arange(int(on.sum())) - int(on[:old].sum())
-            new = np.arange(len(band)) >= old
-            ask = np.flatnonzero(new & (key != lead).any(1))
+            again[0] = last == band[0] and bool((held == key[0]).all())
+            new = ~again
+            band, key = band[new], key[new]
+            if not len(band):
+                continue
+            first = np.append(band[0] != last, band[1:] != band[:-1])
+            at = np.maximum.accumulate(np.where(first, np.arange(len(band)), -1))
+            leads = np.where((at < 0)[:, None], key[:1] if lead is None else lead, key[at])
+            place = np.where(at < 0, seen + np.arange(len(band)), np.arange(len(band)) - at)
+            ask = np.flatnonzero(place)
             if len(ask):
-                yield emit(0, np.concatenate([key[ask], lead[ask]], axis=1), place[ask] // salt_every)
-            ones = [np.zeros((0, 32), np.uint8)]
-            for d in range(1, near + 1):
-                pick = np.flatnonzero(new[d:] & (band[d:] == band[:-d]) & (key[:-d] != lead[d:]).any(1))
-                ones.append(np.concatenate([key[d:][pick], key[:-d][pick]], axis=1))
-            ones = np.concatenate(ones)
-            if len(ones):
-                turned = ones[:, :16].copy().view(">u8")[:, :1] > ones[:, 16:].copy().view(">u8")[:, :1]
-                ones = np.ascontiguousarray(np.where(turned, np.concatenate([ones[:, 16:], ones[:, :16]], axis=1), ones))
-                yield emit(1, ones, np.zeros(len(ones), np.int64))
-            late = np.flatnonzero(new & (place > near))
-            if len(late):
-                turn = late[place[late] == near + 1]  # the first row that proves its band large brings those before it
-                at = np.concatenate([late, (turn[:, None] - np.arange(1, near + 1)).reshape(-1)])
-                whole = _key_array(np.concatenate([key[at], lead[turn]]))
-                yield pa.RecordBatch.from_arrays([whole, whole, pa.array(np.full(len(whole), 2, np.int32)), pa.array(np.concatenate([band[at], band[turn]]))], names=["key", "leader", "kind", "salt"])
-            seen = int(place[-1]) + 1
-            bands, keys, leads = band[-near:].copy(), key[-near:].copy(), lead[-near:].copy()
+                yield pa.RecordBatch.from_arrays([pa.array(band[ask]), _key_array(key[ask]), _key_array(leads[ask]), pa.array(place[ask] // salt_every)], names=["band", "key", "leader", "salt"])
+            last, lead, held, seen = band[-1], leads[-1:].copy(), key[-1].copy(), int(place[-1]) + 1
 
     return run
 
@@ -248,28 +219,48 @@ def verify(texts: DataFrame, pairs: DataFrame, words: int = WORDS, threshold: fl
     return texts.sparkSession.read.parquet(at)
 
 
-def _within(x: list, y: list, same: bool, threshold: float) -> list[tuple[bytes, bytes, float]]:
-    """Links between texts (key, root, shingles, weights) of x and of y (or among x) that have different roots, enough to
-    join every pair that reaches the threshold. A shared shingle adds to the similarity at most its share of either
-    text, so only pairs whose shared shingles have the threshold's share of both texts are computed."""
-    sides = []
-    for z in (x, y):
-        elem, row = np.concatenate([t[2] for t in z]), np.repeat(np.arange(len(z)), [len(t[2]) for t in z])
-        sides.append((elem, row, np.concatenate([t[3] / t[3].sum() for t in z])))
-    both = np.intersect1d(sides[0][0], sides[1][0])
-    mass = [np.zeros((len(x), len(y))), np.zeros((len(x), len(y)))]
-    for i in range(0, len(both), 4096):
-        some, dense = both[i : i + 4096], []
-        for (elem, row, share), z in zip(sides, (x, y), strict=True):
+def _shared(x: tuple, y: tuple) -> np.ndarray:
+    """Sum of the weights in x (elements, rows, weights, number of rows) of the elements that rows of x and y share, for each two rows; y's weights do not count."""
+    both = np.intersect1d(x[0], y[0])
+    total = np.zeros((x[3], y[3]), np.float32)
+    for i in range(0, len(both), 2048):
+        some, dense = both[i : i + 2048], []
+        for elem, row, weight, n in (x, (*y[:2], np.ones(len(y[0])), y[3])):
             at = np.minimum(np.searchsorted(some, elem), len(some) - 1)
             on = some[at] == elem
-            d = np.zeros((len(z), len(some)))
-            d[row[on], at[on]] = share[on]
+            d = np.zeros((n, len(some)), np.float32)
+            d[row[on], at[on]] = weight[on]
             dense.append(d)
-        mass[0] += dense[0] @ (dense[1] > 0).T
-        mass[1] += (dense[0] > 0).astype(float) @ dense[1].T
-    bound = np.minimum(*mass)
-    one, two = np.nonzero(bound >= threshold - 1e-9)
+        total += dense[0] @ dense[1].T
+    return total
+
+
+def _bound(x: list, y: list) -> np.ndarray:
+    """An upper bound of the similarity of each text (key, root, shingles, weights) of x with each of y; the similarity itself where no shingle repeats in a text.
+
+    With a and b the weights, the term of a shared shingle is at most its share of either text, and at most max(a_i, b_i) over
+    the weight of one text and of what the other has alone. The sum of min(a_i, b_i) counts equal (shingle, n-th occurrence)."""
+    sides, ranked, total = [], [], []
+    for z in (x, y):
+        elem, weight = np.concatenate([t[2] for t in z]), np.concatenate([t[3] for t in z])
+        row = np.repeat(np.arange(len(z)), [len(t[2]) for t in z])
+        sides.append((elem, row, weight, len(z)))
+        times = weight.astype(np.int64)
+        nth = ragged(np.zeros(len(times), np.int64), times).astype(np.uint64)
+        ranked.append((mix(np.repeat(elem, times) + nth * np.uint64(GOLDEN)), np.repeat(row, times), np.ones(len(nth)), len(z)))
+        total.append(np.bincount(row, weights=weight, minlength=len(z)))
+    a, b, least = _shared(*sides), _shared(*sides[::-1]).T, _shared(*ranked)
+    whole_a, whole_b = total[0][:, None], total[1][None, :]
+    return np.minimum(np.minimum(a / whole_a, b / whole_b), (a + b - least) / (whole_a + whole_b - np.maximum(a, b)))
+
+
+def _within(x: list, y: list, same: bool, threshold: float) -> list[tuple[bytes, bytes, float]]:
+    """Links between texts (key, root, shingles, weights) of x and of y (or among x) that have different roots, enough to
+    join every pair that reaches the threshold: pairs whose bound does are computed exactly."""
+    name = {r: i for i, r in enumerate(dict.fromkeys(t[1] for t in (*x, *y)))}
+    apart = np.array([name[t[1]] for t in x])[:, None] != np.array([name[t[1]] for t in y])
+    bound = _bound(x, y)
+    one, two = np.nonzero(apart & (bound >= threshold - 1e-4))  # of sums in single precision
     if same:
         one, two = one[one < two], two[one < two]
     up: dict[bytes, bytes] = {}
@@ -320,52 +311,51 @@ def _search(words: int, threshold: float):
 def search(texts: DataFrame, members: DataFrame, root: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame | None:
     """key, leader, similarity of verified pairs of texts (key, text) of one band in members (band, key), enough to join,
     with the classes of root (id, root), all pairs of a band that reach the threshold; a written table, or None if all
-    bands are of one class each."""
+    bands are of one class each. Bands with the same texts are searched once."""
     spark = texts.sparkSession
     named = members.join(root.select(F.col("id").alias("key"), "root"), "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
-    ends = [F.min("root").alias("lo"), F.max("root").alias("hi")]
-    mixed = named.groupBy("band").agg(*ends).where("lo <> hi").select("band")
-    place = F.row_number().over(W.partitionBy("band").orderBy("root", "key")) - 1  # classes side by side: their blocks need no search
+    of = named.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
+    mixed = of.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band")
+    at = shared_dir(spark, "near-mixed")
+    named.join(mixed, "band").write.parquet(at)
+    left = spark.read.parquet(at)
+    if not left.limit(1).count():
+        return None
+    at = shared_dir(spark, "near-left")
+    texts.dropDuplicates(["key"]).join(left.select("key").distinct().hint("shuffle_hash"), "key").write.parquet(at)
+    texts = spark.read.parquet(at)
+    # A text's share of a block. A class of more than a block has blocks of its own, by key; the others are dealt by class, so that few blocks hold several.
+    share = F.greatest(F.octet_length("text") / F.lit(BLOCK_BYTES), F.lit(1 / block)).alias("share")
+    sized = left.join(texts.select("key", share), "key")
+    own = sized.groupBy("band", "root").agg(F.ceil(F.sum("share")).alias("parts"), F.sum("share").alias("w"))
+    small = own.where("parts = 1").groupBy("band").agg(F.ceil(F.sum("w")).alias("deal"))
+    own = own.join(small, "band", "left").select("band", "root", "parts", "deal")
+    block_of = F.when(F.col("parts") > 1, F.xxhash64("root", F.pmod(F.xxhash64("key"), "parts"))).otherwise(F.pmod(F.xxhash64("root"), "deal"))
     at = shared_dir(spark, "near-blocks")
-    named.join(mixed, "band").withColumn("block", F.floor(place / block)).write.parquet(at)
+    left.join(own, ["band", "root"]).select("band", "key", "root", block_of.alias("block")).write.parquet(at)
     placed = spark.read.parquet(at)
-    if not placed.limit(1).count():
-        return None
-    blocks = placed.groupBy("band", "block").agg(*ends)
+    blocks = placed.groupBy("band", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     side = lambda c: blocks.select("band", F.col("block").alias(c), F.col("lo").alias(f"{c}_lo"), F.col("hi").alias(f"{c}_hi"))
     todo = side("a").join(side("b"), "band").where("a <= b and (a_lo <> a_hi or b_lo <> b_hi or a_lo <> b_lo)").select("band", "a", "b")
     asked = placed.join(todo.withColumn("block", F.col("a")), ["band", "block"]).withColumn("side", F.lit(0))
     asked = asked.unionByName(placed.join(todo.where("a < b").withColumn("block", F.col("b")), ["band", "block"]).withColumn("side", F.lit(1)))
-    sent = texts.dropDuplicates(["key"]).join(asked, "key").select("band", "a", "b", "side", "key", "root", "text")
+    sent = texts.join(asked, "key").select("band", "a", "b", "side", "key", "root", "text")
     sent = sent.repartition(partitions(spark), "band", "a", "b").sortWithinPartitions("band", "a", "b")
     at = shared_dir(spark, "near-links")
     sent.mapInArrow(lean(_search(words, threshold)), "key binary, leader binary, similarity double").write.parquet(at)
     return spark.read.parquet(at)
 
 
-def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, registers: int = REGISTERS, bands: int = BANDS, salt_every: int = SALT_EVERY, near: int = NEAR, block: int = BLOCK) -> DataFrame:
+def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, registers: int = REGISTERS, bands: int = BANDS, salt_every: int = SALT_EVERY, block: int = BLOCK) -> DataFrame:
     """key, leader, similarity of verified pairs of different texts, enough to join every class."""
     spark, n = docs.sparkSession, partitions(docs.sparkSession)
     texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").where("text <> ''")
     dealt = texts.mapInArrow(lean(_bands(words, registers, bands)), "band long, ord long, key binary").repartition(n, "band").sortWithinPartitions("band", "ord")
-    at = shared_dir(spark, "near-pairs")
-    dealt.mapInArrow(lean(_pairs(near, salt_every)), "key binary, leader binary, kind int, salt long").write.parquet(at)
-    met = spark.read.parquet(at)
-    members = met.where("kind = 2").select(F.col("salt").alias("band"), "key")
-    at = shared_dir(spark, "near-pairs")
-    met.where("kind < 2").groupBy("key", "leader").agg(F.min(F.struct("kind", "salt")).alias("m")).select("key", "leader", "m.kind", "m.salt").write.parquet(at)
-    pairs = spark.read.parquet(at)
-    found = verify(texts, pairs.where("kind = 0").drop("kind"), words, threshold)
-    root = components(found, "key", "leader")
-    side = lambda c: root.select(F.col("id").alias(c), F.col("root").alias(f"{c}_root"))
-    rest = pairs.where("kind = 1").drop("kind").join(side("key"), "key", "left").join(side("leader"), "leader", "left")
-    rest = rest.where(F.coalesce("key_root", "key") != F.coalesce("leader_root", "leader")).select("key", "leader", "salt")
-    at = shared_dir(spark, "near-rest")
-    rest.write.parquet(at)
-    rest = spark.read.parquet(at)
-    if rest.limit(1).count():
-        found = found.unionByName(verify(texts, rest, words, threshold))
-    more = search(texts, members, root, words, threshold, block)
+    at = shared_dir(spark, "near-members")
+    dealt.mapInArrow(lean(_pairs(salt_every)), "band long, key binary, leader binary, salt long").write.parquet(at)
+    members = spark.read.parquet(at)
+    found = verify(texts, members.groupBy("key", "leader").agg(F.min("salt").alias("salt")), words, threshold)
+    more = search(texts, members.select("band", "key"), components(found, "key", "leader"), words, threshold, block)
     return found if more is None else found.unionByName(more)
 
 

@@ -99,19 +99,42 @@ def test_near_duplicates_star_and_chain(spark):
     assert all(alike(0, i) for i in range(1, 321)) and sum(alike(1, i) for i in range(2, 321)) < 20
     assert all(alike(i, i + 1) for i in range(321, 640)) and not any(alike(321, i) for i in range(330, 641))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for parameters in ({}, {"near": 1, "block": 16}):
+    for parameters in ({}, {"block": 16}):
         got = minhash.near_duplicates(df, **parameters).groupBy("class_id").count().collect()
         assert sorted(tuple(r) for r in got) == [(0, 321), (1000, 320)], parameters
 
 
-@pytest.mark.parametrize("n, near", [(12, 2), (3, 2), (40, 8)])
-def test_members_of_large_buckets(n, near):
-    """Every text of a bucket that has pairs with neither leader nor neighbours, whatever batches it comes in."""
-    keys = [bytes([i]) * 16 for i in range(n)]
-    for size in (1, 5, n + 3):
-        whole = pa.RecordBatch.from_arrays([pa.array([1] * n + [2] * 2), pa.array(list(range(n)) + [0, 1]), pa.array([*keys, keys[0], keys[1]], pa.binary())], names=["band", "ord", "key"])
-        out = [r for b in minhash._pairs(near, 512)(whole.slice(i, size) for i in range(0, n + 2, size)) for r in b.to_pylist() if r["kind"] == 2]
-        assert sorted((r["salt"], r["key"]) for r in out) == ([(1, k) for k in keys] if n > near + 1 else [])
+def test_unjoined_bucket_is_searched_whole(spark):
+    """A bucket of many texts that no leader joins, with two links in it and a class of more than a block, in several blocks."""
+    rows = [(i, prose(500 + i, 60, 100_000)) for i in range(60)]
+    for i in (7, 41):
+        w = rows[i][1].split()
+        w[30] = "other"
+        rows.append((100 + i, " ".join(w)))
+    big = prose(900, 80, 100_000).split()
+    rows += [(200 + i, " ".join([*big[:40], f"edit{i}", *big[41:]])) for i in range(12)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").select(minhash.key_of(minhash.F.col("text")).alias("key"), "text", "doc_id")
+    key = {r.doc_id: bytes(r.key) for r in texts.collect()}
+    members = texts.selectExpr("explode(array(1L, 2L)) AS band", "key")
+    root = spark.createDataFrame([(bytearray(key[200 + i]), bytearray(key[200])) for i in range(12)], "id binary, root binary")
+    for block in (4, 16, 512):
+        got = minhash.search(texts.drop("doc_id"), members, root, block=block).collect()
+        assert sorted({tuple(sorted((bytes(r.key), bytes(r.leader)))) for r in got}) == sorted(tuple(sorted((key[i], key[100 + i]))) for i in (7, 41))
+    assert minhash.search(texts.drop("doc_id"), members.join(root.selectExpr("id AS key"), "key"), root) is None
+
+
+def test_bound_of_similarity():
+    """Never below the similarity; equal to it where no shingle repeats."""
+    rng = np.random.default_rng(8)
+    pool = np.sort(rng.integers(1, 2**63, 60).astype(np.uint64))
+    for flat in (True, False):
+        texts = []
+        for i in range(24):
+            on = np.sort(rng.choice(60, int(rng.integers(20, 60)), replace=False))
+            texts.append((b"%d" % i, b"", pool[on], np.ones(len(on)) if flat else rng.integers(1, 5, len(on)).astype(float)))
+        bound = minhash._bound(texts[:10], texts[10:])
+        exact = np.array([[minhash.probability_jaccard(*x[2:], *y[2:]) for y in texts[10:]] for x in texts[:10]])
+        assert (bound >= exact - 1e-5).all() and (not flat or np.abs(bound - exact).max() < 1e-5)
 
 
 def test_signature_estimates_probability_jaccard():
@@ -382,7 +405,7 @@ def test_streams_over_batches(seed):
     got = [(r["h"], r["runs"][0]["a"]) for b in suffix._repeated(iter([rows.slice(x, y - x) for x, y in zip(c, c[1:])])) for r in b.to_pylist()]
     assert got == [(int(h[i]), i) for i in range(40) if (h == h[i]).sum() > 1 or len(runs[i]) > 1]
 
-    n, near = 60, 3
+    n = 60
     band = np.sort(rng.integers(0, 9, n))
     names = rng.integers(0, 12, n)
     order = np.lexsort((names, band))
@@ -390,14 +413,9 @@ def test_streams_over_batches(seed):
     key = [int(k).to_bytes(1, "big") * 16 for k in names]
     rows = pa.RecordBatch.from_pydict({"band": pa.array(band), "ord": pa.array(names), "key": pa.array(key, pa.binary())})
     c = cut(n)
-    got = {0: set(), 1: set()}
-    for b in minhash._pairs(near, 4)(iter([rows.slice(x, y - x) for x, y in zip(c, c[1:])])):
-        for r in b.to_pylist():
-            got[r["kind"]].add((r["key"][0], r["leader"][0], r["salt"]))
-    lead, other = set(), set()
+    got = [(r["band"], r["key"][0], r["leader"][0], r["salt"]) for b in minhash._pairs(4)(iter([rows.slice(x, y - x) for x, y in zip(c, c[1:])])) for r in b.to_pylist()]
+    want = []
     for k in np.unique(band):
         mine = list(dict.fromkeys(names[band == k].tolist()))
-        lead |= {(m, mine[0], i // 4) for i, m in enumerate(mine) if i}
-        other |= {(*sorted((m, mine[i - d])), 0) for i, m in enumerate(mine) for d in range(1, near + 1) if i - d > 0}
-    assert {x[:2] for x in got[0]} == {x[:2] for x in lead} and got[0] <= lead
-    assert {tuple(sorted(x[:2])) for x in got[1]} == {x[:2] for x in other}
+        want += [(int(k), m, mine[0], i // 4) for i, m in enumerate(mine) if i]
+    assert got == want
