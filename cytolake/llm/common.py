@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cytolake.sources.shared import discard, partitions, shared_path
+
 GOLDEN = 0x9E3779B97F4A7C15
 BASE = 0xD6E8FEB86659FD93
 _MASK = (1 << 64) - 1
@@ -25,22 +25,14 @@ SLICE_BYTES = 1_000_000
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the folder that spark.checkpoint.dir names; a local one only where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="cytolake-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the folder that spark.checkpoint.dir names."""
+    return shared_path(spark, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def docs_of(df: DataFrame) -> DataFrame:
     """doc_id and text alone, null text as empty; other columns, whatever their names, are left behind."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

@@ -7,12 +7,14 @@ part-filled windows, whatever the corpus' size.
 
 Edge cases: null text counts as empty, a document of one closing id; repeated rows are pieces of their own; a null
 doc_id is kept; ties in length go by doc_id, start and checksum; an empty table gives no rows; a document longer
-than many windows stays whole across full windows.
+than many windows stays whole across full windows; a string that the vocabulary marks as special (such as `<|endoftext|>`)
+becomes its own id wherever it stands, as the tokenizers library does by default.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -39,17 +41,42 @@ def default_vocabulary() -> str:
 
 
 @functools.cache
-def tokenizer(path: str):
+def tokenizer(path: str, with_marks: bool = True):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
+    t.encode_special_tokens = not with_marks  # then their strings in a text are ordinary text
     return t
 
 
+@functools.cache
+def marks(path: str) -> list[str]:
+    """Strings that the vocabulary turns into ids of their own wherever they stand in a text."""
+    return [t.content for t in tokenizer(path).get_added_tokens_decoder().values()]
+
+
+@functools.cache
+def by_chunks(path: str) -> bool:
+    """Does the vocabulary file normalise and split texts as ChunkEncoder takes for granted?"""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    return (said.get("normalizer"), said.get("pre_tokenizer"), said.get("post_processor")) == (NORMALIZER, PRE_TOKENIZER, None)
+
+
+#: Of the vocabularies that ChunkEncoder can read; fixed values.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 ALNUM = np.zeros(256, bool)
@@ -61,7 +88,8 @@ TAIL[[c for c in range(33, 127) if not chr(c).isalnum() and c != ord("'")]] = Tr
 class ChunkEncoder:
     """Encodes each distinct chunk once. The vocabulary lowers case, drops white space and splits at it, and splits
     between a letter or digit and other signs, so a text's ids are those of its chunks: ASCII-lowered words, and the
-    signs that end a word after an ASCII letter or digit. What else it splits is left to the tokenizer."""
+    signs that end a word after an ASCII letter or digit. What else it splits is left to the tokenizer. It does not know
+    the vocabulary's marks; encode_rows keeps texts with one from it."""
 
     def __init__(self, path: str) -> None:
         self.path = path
@@ -76,7 +104,7 @@ class ChunkEncoder:
         """Encodes new chunks as one text, which spares a call for each, and cuts the ids at the chunks' places."""
         texts = [c.decode() for c in fresh]
         place = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
-        got = tokenizer(self.path).encode(" ".join(texts), add_special_tokens=False)
+        got = tokenizer(self.path, False).encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(got.ids, np.uint32)
         at = np.fromiter((a for a, _ in got.offsets), np.int64, len(ids))
         counts = np.bincount(np.searchsorted(place, at, "right") - 1, minlength=len(texts))
@@ -120,18 +148,27 @@ class ChunkEncoder:
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("salt", pa.int64()), ("ids", pa.binary())])
 
 
+def encode_rows(encode: ChunkEncoder, texts: pa.Array) -> Iterator[np.ndarray]:
+    """The ids of each text. Texts that hold one of the vocabulary's marks, and all texts of a vocabulary of another kind, go to the tokenizer itself."""
+    path, plain = encode.path, pa.array(np.full(len(texts), by_chunks(encode.path)))
+    for mark in marks(path):
+        plain = pc.and_not(plain, pc.match_substring(texts, mark))
+    ids, counts = encode(*buffer_of(pc.if_else(plain, texts, "")))
+    edge = np.append(0, np.cumsum(counts))
+    for i, alone in enumerate(plain.to_pylist()):
+        yield ids[edge[i] : edge[i + 1]] if alone else np.array(tokenizer(path).encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
+
+
 def _cut(path: str, window: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, n = ChunkEncoder(path), 0
         for part in slices(batches, limit=1_000_000):
-            ids, counts = encode(*buffer_of(part.column(1)))
-            at, rows = 0, []
-            for doc, size in zip(part.column(0).to_pylist(), counts.tolist(), strict=True):
-                own = np.append(ids[at : at + size], np.uint32(CLOSING_ID)).astype("<u4")
-                at += size
-                for a in range(0, size + 1, window):
+            rows = []
+            for doc, ids in zip(part.column(0).to_pylist(), encode_rows(encode, part.column(1)), strict=True):
+                own = np.append(ids, np.uint32(CLOSING_ID)).astype("<u4")
+                for a in range(0, len(own), window):
                     piece = own[a : a + window].tobytes()
-                    rows.append((doc, a, len(piece) // 4, zlib.crc32(piece), size + 1, n, piece if with_ids else None))
+                    rows.append((doc, a, len(piece) // 4, zlib.crc32(piece), len(own), n, piece if with_ids else None))
                     n += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECES, strict=True)], schema=_PIECES)
 
