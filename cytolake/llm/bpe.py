@@ -110,8 +110,9 @@ class _Block:
         index = np.fromiter((words.setdefault(w, len(words)) for w in local.dictionary.to_pylist()), np.uint32, len(local.dictionary))
         self.stream.append(index[local.indices.to_numpy()] if len(local) else np.zeros(0, np.uint32))
 
-    def rows(self, buckets: int) -> Iterator[tuple[int, int, int, int, bytes]]:
+    def rows(self, routes: list[int]) -> Iterator[tuple[int, int, int, int, bytes]]:
         """route, kind, block, bucket, payload: the stream (kind 0) and a list of words for each bucket (kind 1)."""
+        buckets = len(routes)
         stream = np.concatenate(self.stream) if self.stream else np.zeros(0, np.uint32)
         raw = [w.encode("utf-8", "surrogatepass") for w in self.words]
         order = np.argsort(-np.bincount(stream, minlength=len(raw)), kind="stable")  # frequent words get short ranks
@@ -126,7 +127,7 @@ class _Block:
         edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
         for b in np.flatnonzero(np.diff(edges)):
             mine = [raw[order[i]] for i in by[edges[b] : edges[b + 1]]]
-            yield int(b), 1, block, int(b), _pack(np.fromiter(map(len, mine), np.uint32, len(mine)), np.frombuffer(b"".join(mine), np.uint8))
+            yield routes[b], 1, block, int(b), _pack(np.fromiter(map(len, mine), np.uint32, len(mine)), np.frombuffer(b"".join(mine), np.uint8))
 
 
 _OUT = pa.schema([("route", pa.int64()), ("kind", pa.int32()), ("block", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary())])
@@ -136,7 +137,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def _explode(buckets: int, pattern: str, block_bytes: int):
+def _explode(routes: list[int], pattern: str, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
@@ -144,10 +145,10 @@ def _explode(buckets: int, pattern: str, block_bytes: int):
         for part in slices(batches, limit=1_000_000):
             block.add(part.column(0).to_pylist(), part.column(1).to_pylist(), find)
             if block.bytes >= block_bytes:
-                yield _batch(list(block.rows(buckets)), _OUT)
+                yield _batch(list(block.rows(routes)), _OUT)
                 block = _Block()
         if block.ids:
-            yield _batch(list(block.rows(buckets)), _OUT)
+            yield _batch(list(block.rows(routes)), _OUT)
 
     return run
 
@@ -222,11 +223,21 @@ def _reassemble(path: str, out_bytes: int = 2_000_000):
     return lambda streams, answers: pa.Table.from_batches(rows(streams, answers), _TOKENS)
 
 
+def routes_of(spark, n: int) -> list[int]:
+    """For each of n partitions a value that hash partitioning sends there, so that buckets do not meet in one partition. Bounded by the number of partitions."""
+    got: dict[int, int] = {}
+    size = 32 * n
+    while len(got) < n:
+        got = {r.p: r.id for r in spark.range(size).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(F.min("id").alias("id")).collect()}
+        size *= 2
+    return [got[p] for p in range(n)]
+
+
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and decoded (bytes of the ids) of each document."""
     path, pattern = path or default_paths()[0], pattern or default_paths()[1]
     n = partitions(docs.sparkSession)
-    sent = docs_of(docs).mapInArrow(lean(_explode(n, pattern, block_bytes)), "route long, kind int, block long, bucket int, payload binary").repartition(n, "route")
+    sent = docs_of(docs).mapInArrow(lean(_explode(routes_of(docs.sparkSession, n), pattern, block_bytes)), "route long, kind int, block long, bucket int, payload binary").repartition(n, "route")
     # rand() keeps the filter above the exchange, which both branches then share.
     kind = F.col("kind") + (F.rand(1) * 0).cast("int")
     # Both branches keep all columns, so that Spark finds their exchanges equal and runs one.
