@@ -2,7 +2,7 @@
 
 The model is fitted on labelled rows (labels.quality), at most about TRAIN_ROWS of them, chosen by a hash of
 doc_id. Three quarters fit the weights, one quarter the calibration (a sigmoid over the score). Scoring runs over
-Arrow batches: a document's score is the mean weight of its words plus that of its character n-grams, so memory
+Arrow batches: a document's score is the mean weight of its words, of its word pairs and of its character n-grams, added up, so memory
 does not follow a text's length beyond the batch itself. A document is kept if the calibrated probability of good
 quality reaches KEEP_AT.
 
@@ -25,13 +25,15 @@ from cytolake.llm.common import GOLDEN, SPACE, buffer_of, docs_of, hash_sample,
 
 #: Bound on the labelled rows to fit on.
 TRAIN_ROWS = 3000
-#: Bits of each feature family's hash; character n-gram sizes.
-BITS, CHAR_GRAMS = 15, (3, 4)
+#: Bits of each feature family's hash; word and character n-gram sizes.
+BITS, WORD_GRAMS, CHAR_GRAMS = 15, (1, 2), (3, 4)
 KEEP_AT = 0.5
 MIN_WORDS, MAX_REPEAT_SHARE, WINDOW = 20, 30, 8
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
-FEATURES = 1 + (1 + len(CHAR_GRAMS) << BITS)
+FEATURES = 1 + (len(WORD_GRAMS) + len(CHAR_GRAMS) << BITS)
+#: Feature values that one step of fitting handles; bounds its temporary memory.
+FIT_SLICE = 1 << 19
 
 
 def per_row(flags: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -76,15 +78,19 @@ def base_counts(data: np.ndarray, off: np.ndarray, spans: tuple, words: np.ndarr
 
 def features(data: np.ndarray, off: np.ndarray, words: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each family, the feature of each occurrence and its row, in row order."""
-    yield 1 + (words >> np.uint64(64 - BITS)).astype(np.int64), doc
+    family = lambda k, gram: 1 + (k << BITS) + (gram >> np.uint64(64 - BITS)).astype(np.int64)
+    for k, size in enumerate(WORD_GRAMS):
+        gram = words if size == 1 else window_hash(words, size)
+        inside = doc[: len(gram)] == doc[size - 1 :] if len(gram) else np.zeros(0, bool)
+        yield family(k, gram[inside]), doc[: len(gram)][inside]
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
     head = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=head[1:])
     row = np.repeat(np.arange(len(off) - 1), np.diff(head[off]))
-    for k, size in enumerate(CHAR_GRAMS, 1):
+    for k, size in enumerate(CHAR_GRAMS, len(WORD_GRAMS)):
         gram = window_hash(points, size)
         inside = row[: len(gram)] == row[size - 1 :] if len(gram) else np.zeros(0, bool)
-        yield 1 + (k << BITS) + (gram[inside] >> np.uint64(64 - BITS)).astype(np.int64), row[: len(gram)][inside]
+        yield family(k, gram[inside]), row[: len(gram)][inside]
 
 
 @dataclass
@@ -144,18 +150,25 @@ def fit_rows(labels: np.ndarray, index: list[np.ndarray], value: list[np.ndarray
     y = labels.astype(float)
     if len(set(y[fit])) < 2 or len(set(y[calibrate])) < 2:
         return Model(np.zeros(FEATURES, np.float32), always=True)
-    col, val = np.concatenate([index[i] for i in fit]), np.concatenate([value[i] for i in fit])
-    row = np.repeat(np.arange(len(fit), dtype=np.int32), [len(index[i]) for i in fit])
-    scale = 1 / (np.sqrt(np.bincount(col, weights=val * val, minlength=FEATURES) / len(fit)) + 1e-3)
-    val *= scale[col].astype(np.float32)
+    size = np.array([len(index[i]) for i in fit])
+    cut = np.flatnonzero(np.diff(np.cumsum(size) // FIT_SLICE, prepend=-1))  # first row of each slice
+    parts = [fit[a:b] for a, b in zip(cut, np.append(cut[1:], len(fit)))]
+    square = np.zeros(FEATURES)
+    for part in parts:
+        square += np.bincount(np.concatenate([index[i] for i in part]), weights=np.concatenate([value[i] for i in part]) ** 2, minlength=FEATURES)
+    scale = 1 / (np.sqrt(square / len(fit)) + 1e-3)
     w, m, v = np.zeros(FEATURES), np.zeros(FEATURES), np.zeros(FEATURES)
     share = y[fit].mean()
-    weight = np.where(y[fit] > 0, 0.5 / share, 0.5 / (1 - share)) / len(fit)
-    edge = np.concatenate([[0], np.cumsum(np.bincount(row))])[:-1]
-    norm = 1 / np.sqrt(np.bincount(row))  # each row's terms add up to a bounded score
     for t in range(1, steps + 1):
-        z = np.add.reduceat(w[col] * val, edge) * norm
-        g = np.bincount(col, weights=val * ((1 / (1 + np.exp(-z)) - y[fit]) * weight * norm)[row], minlength=FEATURES) + ridge * w
+        g = ridge * w
+        for part in parts:
+            col, val = np.concatenate([index[i] for i in part]), np.concatenate([value[i] for i in part])
+            val = val * scale[col]
+            n = np.array([len(index[i]) for i in part])
+            norm = 1 / np.sqrt(n)  # each row's terms add up to a bounded score
+            z = np.add.reduceat(w[col] * val, np.cumsum(n) - n) * norm
+            weight = np.where(y[part] > 0, 0.5 / share, 0.5 / (1 - share)) / len(fit)
+            g += np.bincount(col, weights=val * np.repeat((1 / (1 + np.exp(-z)) - y[part]) * weight * norm, n), minlength=FEATURES)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8) / np.sqrt(t)
     model = Model((w * scale).astype(np.float32))
