@@ -2,9 +2,10 @@
 
 An archive is a skippable frame with a Zstandard dictionary, built from the archive's own records, and then one
 Zstandard frame for each record. Pages with equal payloads of at least MIN_REVISIT bytes are one response (the
-least page_id) and revisits of it. A task buffers at most ARCHIVE_BYTES, writes the archive under a name that its
-attempt alone has, and moves it into place, so a repeated task replaces its own file. The list of archives is a
-written table.
+least page_id) and revisits of it. A task sorts its records by page, buffers at most ARCHIVE_BYTES, writes the archive
+under a name that its attempt alone has, and moves it to a name made from the digest of its contents: attempts of a task
+that cut the same records differently never replace each other's files, and equal files have one name. The list of
+archives is a written table, and it alone says which files count; `orphans` names the others.
 
 Edge cases: null html counts as empty; payloads under MIN_REVISIT bytes are always responses; rows that repeat a
 page_id and payload are all responses if that page_id is the least; a null page_id is kept and is never the least
@@ -111,9 +112,9 @@ def _write(uri: str, archive_bytes: int):
 
         def close(records: list[bytes]) -> pa.RecordBatch:
             nonlocal made
-            name = f"{top}/{task.partitionId():06d}-{made:05d}.warc.zst"
-            part = f"{name}.{task.taskAttemptId()}"
             data = archive(records)
+            name = f"{top}/{hashlib.sha256(data).hexdigest()[:32]}.warc.zst"
+            part = f"{name}.{task.taskAttemptId() if task else 0}-{made}"
             with store.open_output_stream(part) as f:
                 f.write(data)
             store.move(part, name)
@@ -142,14 +143,26 @@ def write_archives(pages: DataFrame, uri: str | None = None, archive_bytes: int
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumns({"digest": F.sha2("html", 256), "size": F.octet_length("html").cast("long")})
     first = rows.where(F.col("size") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    # Revisits need no payload: it is dropped as soon as the join has told which rows they are.
-    rows = rows.join(first, "digest", "left").withColumn("revisit", (F.col("size") >= MIN_REVISIT) & F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id")))
+    # Who revisits whom is told by narrow rows, which a digest of many pages may fill; payloads are then dealt by page, and those of revisits dropped.
+    told = rows.where(F.col("size") >= MIN_REVISIT).select("page_id", "digest").distinct().join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first_id")))
+    told = told.select(F.col("page_id").alias("t_page"), F.col("digest").alias("t_digest"), "first_id", F.lit(True).alias("again"))
+    rows = rows.join(told, rows["page_id"].eqNullSafe(told["t_page"]) & (rows["digest"] == told["t_digest"]), "left").withColumn("revisit", F.coalesce("again", F.lit(False)))
     rows = rows.select("page_id", "url", F.when(~F.col("revisit"), F.col("html")).alias("html"), "digest", "size", "first_id", "revisit")
+    rows = rows.sortWithinPartitions("page_id", "digest", "url")
     at = shared_dir(spark, "warc-list")
     rows.mapInArrow(lean(_write(uri, archive_bytes)), "path string, n_records long, n_bytes long").write.parquet(at)
     return spark.read.parquet(at)
 
 
+def orphans(listed: DataFrame, uri: str) -> list[str]:
+    """Files below uri that the list does not name: what lost attempts left behind. Names of archives come to the driver, one for each ARCHIVE_BYTES."""
+    from pyarrow import fs
+
+    store, top = _filesystem(uri)
+    known = {r.path for r in listed.select("path").collect()}
+    return sorted(x.path for x in store.get_file_info(fs.FileSelector(top, allow_not_found=True)) if x.path not in known)
+
+
 _READ = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
 

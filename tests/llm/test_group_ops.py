@@ -254,6 +254,31 @@ def test_warc(spark, tmp_path):
     assert warc.read_archives(none, "file:///tmp").count() == 0
 
 
+def test_warc_repeated_attempt(tmp_path):
+    """An attempt that reads the same rows in another order leaves the files of the listed one alone."""
+    rows = [{"page_id": i, "url": f"u{i}", "html": prose(i, 30), "digest": hashlib.sha256(prose(i, 30).encode()).hexdigest(), "size": len(prose(i, 30)), "first_id": None, "revisit": False} for i in range(12)]
+    kind = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string()), ("digest", pa.string()), ("size", pa.int64()), ("first_id", pa.int64()), ("revisit", pa.bool_())])
+    write = lambda r: [x for b in warc._write(f"file://{tmp_path}/w", 900)(iter([pa.RecordBatch.from_pylist(r, kind)])) for x in b.to_pylist()]
+    listed = write(rows)
+    assert len(listed) > 2
+    other = write(rows[::-1]) + write(rows)
+    assert {x["path"] for x in listed} < {x["path"] for x in other}
+    got = [r["Page-ID"] for x in listed for r in warc.read_archive(open(x["path"], "rb").read())]
+    assert sorted(map(int, got)) == list(range(12))
+
+
+def test_warc_orphans_and_clashing_columns(spark, tmp_path):
+    html = "<p>" + prose(31, 60)
+    pages = spark.createDataFrame([(i, "u", html, "x", 1, 2, True, "t") for i in range(5)], "page_id long, url string, html string, digest string, size int, first_id int, revisit boolean, t_page string")
+    uri = f"file://{tmp_path}/w"
+    listed = warc.write_archives(pages, uri)
+    assert warc.orphans(listed, uri) == []
+    (tmp_path / "w" / "lost.warc.zst.7-0").write_bytes(b"half")
+    assert warc.orphans(listed, uri) == [f"{tmp_path}/w/lost.warc.zst.7-0"]
+    got = warc.read_archives(listed, uri).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in got) == [(0, "response", None), *((i, "revisit", 0) for i in range(1, 5))]
+
+
 def test_warc_file_is_framed():
     data = warc.archive([warc.record(1, "http://a", b"x" * 500, "d", 500, None, False), warc.record(2, "http://b", b"", "d", 500, 1, True)])
     assert data[:4] == b"\x5d\x2a\x4d\x18"
