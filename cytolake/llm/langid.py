@@ -33,8 +33,10 @@ BITS = 16
 SWITCH = 12.0
 SCRIPT_SHARE = 0.01
 RUN = 512
-#: Least share of a document's letters that its language must hold for keep().
-LEAST_SHARE = 0.3
+#: For keep(): the least share of a document's letters that its language must hold, and how far, in natural logarithms, the
+#: mean log probability of its letters may lie under that of the language's training rows: FAR, and more for short texts,
+#: whose means spread: SPREAD over the root of the number of letters.
+LEAST_SHARE, FAR, SPREAD = 0.6, 3.0, 12.0
 #: First code points of the script ranges of Unicode's block chart, with the script of each range.
 SCRIPTS = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"), (0x0900, "devanagari"), (0x0980, "indic"), (0x0E00, "thai"), (0x0E80, "lao"),
@@ -88,6 +90,8 @@ class Model:
     langs: list[str]
     weight: np.ndarray  # trigram x language, float32
     allowed: np.ndarray  # script x language
+    base: np.ndarray  # trigram: what weight leaves out of the log probability
+    typical: np.ndarray  # language: mean log probability of a letter of the training rows
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +128,8 @@ def fit(docs: DataFrame, rows: int = TRAIN_DOCS) -> Model:
     weight = (logp - logp.mean(1, keepdims=True)).astype(np.float32)
     allowed = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(0), 1)
     allowed |= ~allowed.any(1, keepdims=True)
-    return Model(langs, weight, allowed)
+    base = logp.mean(1).astype(np.float32)
+    return Model(langs, weight, allowed, base, (grams * logp).sum(0) / np.maximum(grams.sum(0), 1))
 
 
 def _runs(score: np.ndarray, start: np.ndarray, length: np.ndarray, free: bool, switch: float):
@@ -221,7 +226,19 @@ def label_rows(model: Model, data: np.ndarray, off: np.ndarray, switch: float =
     return pred, share, (row[new], label[new], start[new], end[last])
 
 
-def _identify(model, switch: float, passing: float | None, with_spans: bool):
+def likeness(model: Model, data: np.ndarray, off: np.ndarray, pred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row: how far its letters' mean log probability in its language lies under the training rows', and its number of letters."""
+    n = len(off) - 1
+    gram, first, row, _, _, _ = letters_of(data, off)
+    if not len(first):
+        return np.zeros(n), np.zeros(n, np.int64)
+    at = np.repeat(row, np.diff(np.append(first, len(gram))))
+    size = np.bincount(at, minlength=n)
+    total = np.bincount(at, weights=model.weight[gram, pred[at]] + model.base[gram], minlength=n)
+    return model.typical[pred] - total / np.maximum(size, 1), size
+
+
+def _identify(model, switch: float, passing: tuple | None, with_spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         names = np.array([*m.langs, "und"], object)
@@ -229,7 +246,10 @@ def _identify(model, switch: float, passing: float | None, with_spans: bool):
             data, off = buffer_of(part.column(part.schema.get_field_index("text")))
             pred, share, (row, lang, start, end) = label_rows(m, data, off, switch)
             if passing is not None:
-                yield part.filter(pa.array((pred >= 0) & (share >= passing)))
+                least, wanted, far = passing
+                under, size = likeness(m, data, off, pred)
+                ok = (pred >= 0) & (share >= least) & (under <= far + SPREAD / np.sqrt(np.maximum(size, 1)))
+                yield part.filter(pa.array(ok & np.isin(pred, [i for i, x in enumerate(m.langs) if wanted is None or x in wanted])))
                 continue
             spans = pa.nulls(part.num_rows, _OUT.field("spans").type)
             if with_spans:
@@ -256,10 +276,12 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH, with_spans:
     return docs_of(docs).mapInArrow(lean(_identify(sent, switch, None, with_spans)), "doc_id long, lang_pred string, score double, spans array<struct<lang:string,start:bigint,end:bigint>>")
 
 
-def keep(docs: DataFrame, model: Model, least: float = LEAST_SHARE, switch: float = SWITCH) -> DataFrame:
-    """The rows of docs, with all their columns, of which one language holds at least that share of the letters."""
+def keep(docs: DataFrame, model: Model, wanted: list[str] | None = None, least: float = LEAST_SHARE, far: float = FAR, switch: float = SWITCH) -> DataFrame:
+    """The rows of docs, with all their columns, whose language is one of wanted (any learned one if None), holds at least
+    that share of the letters, and is likely enough for text in it: mixtures, gibberish, languages that were never learned
+    and texts without a letter go."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.where("text is not null").mapInArrow(lean(_identify(sent, switch, least, False)), docs.schema)
+    return docs.where("text is not null").mapInArrow(lean(_identify(sent, switch, (least, wanted, far), False)), docs.schema)
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ the table is made distinct by digest where it is read, on small rows.
 
 Edge cases: null text counts as empty and gives one row of filler samples; equal texts share a payload and have
 equal values; null html has no items; a reference without a stored payload keeps nulls; repeated rows give rows
-each; an empty table gives no rows; the caption of a figure is its figcaption, else the image's alt text.
+each; an empty table gives no rows; the caption of a figure is its figcaption, else the image's alt text; malformed
+HTML parses as far as it goes, nested to any depth, and what follows an unclosed script gives no items.
 """
 
 from __future__ import annotations

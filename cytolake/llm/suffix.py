@@ -30,6 +30,8 @@ from cytolake.llm.common import buffer_of, docs_of, lean, mix, partitions, power
 from cytolake.llm.minhash import _key_array, _keys, fresh, key_of
 
 MIN_LEN, ANCHOR = 400, 64
+#: For strip(): the least bytes of a passage that repeats, under those of 50 words (of four letters and a blank), and its anchor.
+PASSAGE_LEN, PASSAGE_ANCHOR = 240, 32
 #: Bytes of one buffer in the anchor pass; its positions must fit PLACE_BITS bits.
 BUFFER_BYTES, PLACE_BITS = 1_000_000, 24
 
@@ -350,7 +352,7 @@ def dedup(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR) -> Data
     return rows.join(dedup_texts(docs, min_len, anchor).drop("kept"), "key").drop("key")
 
 
-def strip(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR) -> DataFrame:
+def strip(docs: DataFrame, min_len: int = PASSAGE_LEN, anchor: int = PASSAGE_ANCHOR) -> DataFrame:
     """The rows of docs with repeated strings cut from text, n_chars following if it is a column."""
     k, t = fresh(docs, "suffix_key"), fresh(docs, "suffix_text")
     marked = docs.withColumn(k, key_of(F.coalesce(F.col("text").cast("string"), F.lit("")))).drop("text")

@@ -345,6 +345,32 @@ def test_media(spark, sf_dir, docs, empty):
         assert x.caption == f"Text of document {r.doc_id}" and x.pos == 2
 
 
+def test_media_sequences_of_real_pages(spark, sf_dir):
+    """Every page parses; media, given a digest and two of them a payload, keep their places and captions among the texts."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    seq = {r.doc_id: r["items"] for r in media.sequences(pages, "page_id").collect()}
+    assert len(seq) == pages.count() and sum(map(len, seq.values())) > len(seq)
+    for r in pages.collect():
+        items = seq[r.page_id]
+        assert [i.pos for i in items] == list(range(len(items)))
+        whole = " ".join(i.text for i in items if i.kind == "text")
+        assert all(w in (r.html or "").replace("&amp;", "&") or "&" in (r.html or "") for w in whole.split()[:50])
+    figure = lambda d, c: f'<figure><img src="media:sha256:{d}" alt="alt {c}" data-bytes="9"><figcaption>{c}</figcaption></figure>'
+    html = pages.where("html is not null").orderBy("page_id").first().html
+    mixed = f"<p>before</p>{figure('AA', 'one')}{html}{figure('bb', 'two')}<p>between{figure('cc', 'three')}<video src='clip.mp4'></video><p>after"
+    features = spark.createDataFrame([(d, 576, d * 32, 1, 9, d * 32, "f" + d) for d in ("aa", "bb")], media._FEATURES)
+    got = media.resolve(media.sequences(spark.createDataFrame([(1, mixed)], "doc_id long, html string")), features).orderBy("pos").collect()
+    ours = [(r.digest, r.caption, r.feature) for r in got if r.kind == "media" and r.digest]
+    assert ours == [("aa", "one", "faa"), ("bb", "two", "fbb"), ("cc", "three", None)]
+    assert got[0].text == "before" and got[-1].text == "after" and any(r.src == "clip.mp4" for r in got)
+
+
+def test_media_malformed_html():
+    deep = "<div>" * 20_000 + "in <b>deep" + "<img src=x.png>" + "</p>" * 5 + "<figcaption>stray</figcaption><script>never closed <img src=y.png>"
+    assert [(i["kind"], i.get("text") or i.get("src")) for i in media.parse_items(deep)] == [("text", "in deep"), ("media", "x.png")]
+    assert media.parse_items("<<<>>&#xZZ; </ <!-- <![CDATA[ x")  # no exception, some text
+
+
 def test_media_missing_payload(spark):
     pages = spark.createDataFrame([(1, '<img src="media:sha256:00" alt="x">'), (2, None)], "doc_id long, html string")
     features = spark.createDataFrame([], media._FEATURES)
@@ -372,7 +398,7 @@ def test_pipeline_stages(spark, sf_dir):
         if name == "near_duplicates":
             assert set(after) == {c for _, c in brute_classes(list(before.items()))}
         elif name == "repeated_strings":
-            want = {r[0]: r[1] - r[2] for r in brute_repeats([(d, t.encode()) for d, t in before.items()])}
+            want = {r[0]: r[1] - r[2] for r in brute_repeats([(d, t.encode()) for d, t in before.items()], suffix.PASSAGE_LEN)}
             assert set(after) == set(before)
             assert all(0 <= want[d] - len(t.encode()) <= 6 * 4 for d, t in after.items())
         else:

@@ -247,6 +247,28 @@ def test_language(spark, tables, docs, empty):
     assert abs(spans[1].start - len(text["de"])) < 40
 
 
+def test_language_selects(spark, tables):
+    """What keep() lets through of held-out documents, of mixtures of them, of shuffled letters and of unwanted languages."""
+    d = tables["documents"]
+    model = langid.fit(langid.may_learn(d))
+    held = [(r.doc_id, r.text, r.lang) for r in d.where(langid.held_out()).where("length(text) > 400").orderBy("doc_id").collect()]
+    by = defaultdict(list)
+    for _, text, lang in held:
+        by[lang].append(text)
+    pairs = [(a[:n], b[:n]) for x, y in (("en", "de"), ("de", "fr"), ("es", "en")) for a, b in zip(by[x], by[y]) for n in (min(len(a), len(b), 2000),)]
+    mixed = [a + "\n" + b for a, b in pairs]
+    r = random.Random(2)
+    noise = ["".join(r.sample(t, len(t))) for _, t, _ in held] + ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(600)) for _ in range(20)]
+    passed = lambda texts, **p: langid.keep(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, **p).count() / len(texts)
+    assert passed([t for _, t, _ in held]) > 0.97
+    assert passed(mixed) < 0.2 and len(mixed) > 5
+    assert passed(noise) < 0.05
+    kept = {x.doc_id for x in langid.keep(d, model, wanted=["en"]).select("doc_id").collect()}
+    truth = {x.doc_id for x in d.where("lang = 'en'").select("doc_id").collect()}
+    assert len(kept & truth) > 0.97 * len(kept) and len(kept & truth) > 0.95 * len(truth)
+    assert langid.keep(d, model, wanted=[]).count() == 0
+
+
 def test_license(spark, docs, empty):
     got = ordered(license.scan(docs), "doc_id", "first_line", "license_id")
     assert got == [(16, 0, "MIT"), (16, 1, "CC-BY-NC-4.0")]
