@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
 run() writes each stage's result as Parquet in the folder that spark.checkpoint.dir names and reads it again as
 the next stage's docs.
+
+Edge cases of the stages: documents with null text go in the first stage (the later ones, by themselves, take null for
+empty; language lets it go); empty texts and texts under 20 words fail the base rules; repeated rows stay as they are until the third
+stage keeps one of each class, the one with the least doc_id (null last); texts of any length are whole in every stage;
+further columns, whatever their names, are carried along to the last stage but one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which one language holds a fair share of the letters; those without a letter, and mere mixtures, go."""
+    """Documents of one language that was learned; mixtures, gibberish, other languages and texts without a letter go."""
     return langid.keep(docs, langid.fit(langid.may_learn(docs)))
 
 
@@ -29,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the byte strings that occur twice or more."""
+    """All documents, without the passages of suffix.PASSAGE_LEN bytes or more that occur twice or more, in a document or across them; all copies go."""
     return suffix.strip(docs)
 
 
