@@ -728,3 +728,6 @@ def harmony_embedding(s, d):
 def hierarchical_clones(s, d):
     p = written(cnv.window_cnv(matrix.normalize(B.expr(s, d)), B.cells(s, d), B.genes(s, d), 20), "profiles")
     return cnv.hierarchical_clones(p)
+
+
+from cytolake import catalog_tables  # noqa: E402,F401  registers its queries here

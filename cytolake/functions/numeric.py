@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -186,3 +187,17 @@ def exact_mann_whitney(n1: int, n2: int) -> list[float]:
     lower = np.cumsum(ways)
     upper = np.cumsum(ways[::-1])[::-1]
     return np.minimum(1, 2 * np.minimum(lower, upper)).tolist()
+
+
+def version_parts(version):
+    """The numbers of a version text, as array<int>."""
+    return F.transform(F.regexp_extract_all(version, F.lit(r"([0-9]+)"), 1), lambda x: x.cast("int"))
+
+
+def version_at_least(version, least: str):
+    """Is a version as high as another, missing numbers being 0? null without numbers."""
+    want = F.array(*[F.lit(int(x)) for x in re.findall(r"[0-9]+", least)])
+    have = version_parts(version)
+    n = F.greatest(F.size(have), F.size(want))
+    padded = lambda a: F.concat(a, F.array_repeat(F.lit(0), n - F.size(a)))
+    return F.when(F.size(have) > 0, padded(have) >= padded(want))

@@ -16,7 +16,7 @@ from cytolake.sources.shared import written
 def sliding_mean(df: DataFrame, by: list[str], order: list[str], value: str, size: int, mode: str = "nearest", out: str = "smoothed") -> DataFrame:
     """by, order and the centred mean of s = min(size, n) ordered values of each group: from floor(s/2) before to
     s-floor(s/2)-1 after. Beyond the ends stands the end value (nearest) or the mirrored values (reflect). A group
-    is one array; groups are chromosomes or genes, whose length is bounded."""
+    is one array; groups are chromosomes, whose length in genes is bounded."""
     items = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("sm_value"))))
     g = df.groupBy(*by).agg(items.alias("sm_items")).withColumn("sm_n", F.size("sm_items"))
     n = F.col("sm_n")

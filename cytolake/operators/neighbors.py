@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -14,18 +15,39 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cytolake.functions.numeric import norm2
+from cytolake.operators.ordering import placed
 from cytolake.sources.shared import written
 
 
+def _nearest_of_places(base: DataFrame, k: int, q: DataFrame, alone: bool) -> DataFrame:
+    """knn_2d where several points share a place: a place is asked once, and gives its k + 1 least ids at most."""
+    few = base.withColumn("nth", F.row_number().over(W.partitionBy("x", "y").orderBy("id"))).where(F.col("nth") <= k + 1).select("id", "x", "y")
+    few = written(few, "knn-places")
+    spots = q.groupBy("x", "y").agg(F.min("id").alias("spot"))
+    near = _knn_2d(few, k + 1, spots.select(F.col("spot").alias("id"), "x", "y"), False)
+    each = q.select("id", "x", "y").join(spots, ["x", "y"]).join(near.select(F.col("id").alias("spot"), "nbr", "dist"), "spot")
+    each = each.where("id <> nbr") if alone else each
+    return each.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("dist", "nbr"))).where(F.col("rank") <= k).select("id", "nbr", "dist", "rank")
+
+
 def knn_2d(base: DataFrame, k: int, queries: DataFrame | None = None) -> DataFrame:
     """id, nbr, dist, rank of the k nearest base points (id, x, y) of each query point; of equally near ones the least
     id. Without queries, of each base point among the others.
 
     Points meet by a join on grid cells: a query sees the 3 x 3 cells around it. It is done once its k-th distance is
-    within the seen block; the others go on to cells of twice the width, until a cell spans all points. Each round
-    is written, so it is computed once."""
-    alone = queries is None
-    q = base if alone else queries
+    within the seen block; the others go on to cells of twice the width, until a cell spans all points. The first width
+    is such that no cell holds more than about CROWD times k points, so a dense spot is not one hot cell, and points at
+    one place count k + 1 times at most. Each round is written, so it is computed once."""
+    alone, q = queries is None, base if queries is None else queries
+    shared = base.groupBy("x", "y").count().where("count > 1").limit(1).count()
+    return _nearest_of_places(base, k, q, alone) if shared else _knn_2d(base, k, q, alone)
+
+
+#: Points that the fullest cell of the first round may hold, for each neighbour sought.
+CROWD = 32
+
+
+def _knn_2d(base: DataFrame, k: int, q: DataFrame, alone: bool) -> DataFrame:
     box = base.agg(F.count("*").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
     if not box.n:
         return q.select("id", F.col("id").alias("nbr"), F.lit(0.0).alias("dist"), F.lit(0).alias("rank")).where("false")
@@ -36,6 +58,11 @@ def knn_2d(base: DataFrame, k: int, queries: DataFrame | None = None) -> DataFra
         x0, x1, y0, y1 = box.x0, box.x1, box.y0, box.y1
     span = max(x1 - x0, y1 - y0) or 1.0
     h = span * min(1.0, math.sqrt(2.0 * (k + 1) / box.n))
+    while h > span * 1e-12:
+        top = base.groupBy(F.floor((F.col("x") - x0) / h), F.floor((F.col("y") - y0) / h)).count().agg(F.max("count")).first()[0]
+        if top <= CROWD * (k + 1):
+            break
+        h /= 2 ** max(1, math.ceil(math.log2(top / (CROWD * (k + 1))) / 2))
     parts = []
     left = q.select("id", "x", "y")
     while True:
@@ -105,6 +132,53 @@ def knn_blocks(vectors: DataFrame, k: int, queries: DataFrame | None = None, blo
     return got.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("d2", "nbr"))).where(F.col("rank") <= k).select("id", "nbr", F.sqrt("d2").alias("dist"), "rank")
 
 
+#: Centres of knn_cells at most, hence rows of what it broadcasts, and rows of a cell in one lot.
+CENTRES, LOT = 16_384, 4096
+
+
+def knn_cells(vectors: DataFrame, k: int, queries: DataFrame | None = None, cells: int | None = None, probes: int = 12, seed: int = 0) -> DataFrame:
+    """id, nbr, dist, rank as knn_blocks, but a query looks only into the cells of its probes nearest centres: k-means on a
+    sample of at most 64 rows a cell, about sqrt(n) cells. A row is sent once and a query probes times, whatever the number of
+    rows; a cell of over LOT rows is cut into lots. Near neighbours beyond the probed cells are missed; the tests hold recall
+    to 0.9 and more against the exact plan. With probes = cells the result is exact."""
+    alone = queries is None
+    q = vectors if alone else queries
+    n = vectors.count()
+    cells = min(cells or max(1, math.isqrt(n)), CENTRES, max(1, n))
+    share = min(1.0, 64 * cells / max(n, 1))
+    sample = vectors if share >= 1 else vectors.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    model = KMeans(k=cells, seed=seed, maxIter=8).fit(sample.select(array_to_vector("vec").alias("features"))) if n else None
+    centres = np.stack(model.clusterCenters()) if model else np.zeros((1, 1))
+    sent = vectors.sparkSession.sparkContext.broadcast(centres)
+
+    def assign(width: int):
+        def run(batches):
+            c = sent.value
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = np.stack([np.asarray(v, float) for v in batch["vec"].to_pylist()])
+                d = (c**2).sum(1)[None] - 2 * x @ c.T
+                m = min(width, len(c))
+                near = np.argpartition(d, m - 1, axis=1)[:, :m] if m < len(c) else np.broadcast_to(np.arange(m), (len(x), m))
+                cell = pa.array(near.reshape(-1).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([batch["id"], batch["vec"], pa.ListArray.from_arrays(pa.array(np.arange(0, m * len(x) + 1, m), pa.int32()), cell)], names=["id", "vec", "cells"])
+
+        return run
+
+    kind = "id long, vec array<double>, cells array<int>"
+    own = vectors.select("id", "vec").mapInArrow(assign(1), kind).select("id", "vec", F.explode("cells").alias("cell"))
+    asked = q.select("id", "vec").mapInArrow(assign(probes), kind).select("id", "vec", F.explode("cells").alias("cell"))
+    lots = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / LOT).cast("int").alias(name))
+    size = written(lots(own, "rows").join(lots(asked, "asks"), "cell"), "knn-cells")  # a row a cell
+    lot = lambda name: F.pmod(F.xxhash64("id"), F.col(name)).cast("int")
+    each = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+    left = asked.join(F.broadcast(size), "cell").select("id", "vec", "cell", each("rows").alias("i"), lot("asks").alias("j"))
+    right = own.join(F.broadcast(size), "cell").select("id", "vec", "cell", lot("rows").alias("i"), each("asks").alias("j"))
+    got = left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInArrow(_block_search(k, alone), "id long, nbr long, d2 double")
+    return got.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("d2", "nbr"))).where(F.col("rank") <= k).select("id", "nbr", F.sqrt("d2").alias("dist"), "rank")
+
+
 def knn_by_batch(vectors: DataFrame, batch: str, k: int) -> DataFrame:
     """The k nearest rows in each batch (itself aside) of each row: id, nbr, dist, rank, batch."""
     names = sorted(r[0] for r in vectors.select(batch).distinct().collect())
@@ -221,6 +295,85 @@ def fate_probabilities(edges: DataFrame, cells: DataFrame, q: float = 0.75) -> D
     return g.select("id", "fate", (F.col("p") / F.greatest(F.sum("p").over(W.partitionBy("id")), F.lit(1e-10))).alias("probability"))
 
 
+def absorption(edges: DataFrame, terminal: DataFrame, rounds: int = 500, tolerance: float = 1e-6) -> DataFrame:
+    """id, fate, probability that a walk along edges (src, dst, weight) ends in each fate of the terminal states (id, fate),
+    where it stays: the fixed point of p = T p, a join and an aggregation a round, each written. States that reach no terminal keep 0."""
+    total = edges.groupBy("src").agg(F.sum("weight").alias("total")).where("total > 0")
+    step = written(edges.join(total, "src").join(terminal.select(F.col("id").alias("src")), "src", "left_anti").select("src", "dst", (F.col("weight") / F.col("total")).alias("t")), "chain")
+    fixed = written(terminal.select("id", "fate", F.lit(1.0).alias("p")), "absorbing")
+    p = fixed
+    for _ in range(rounds):
+        moved = step.join(p.withColumnRenamed("id", "dst"), "dst").groupBy(F.col("src").alias("id"), "fate").agg(F.sum(F.col("t") * F.col("p")).alias("p"))
+        new = written(moved.unionByName(fixed), "absorption")
+        change = new.join(p.withColumnRenamed("p", "was"), ["id", "fate"], "left").agg(F.max(F.abs(F.col("p") - F.coalesce("was", F.lit(0.0))))).first()[0]
+        p = new
+        if change is None or change < tolerance:
+            break
+    every = edges.select(F.col("src").alias("id")).union(edges.select("dst")).union(terminal.select("id")).distinct()
+    fates = terminal.agg(F.array_sort(F.collect_set("fate")).alias("fs"))  # as many as clusters
+    grid = every.join(F.broadcast(fates)).select("id", F.explode("fs").alias("fate"))
+    return grid.join(p, ["id", "fate"], "left").select("id", "fate", F.coalesce("p", F.lit(0.0)).alias("probability"))
+
+
+def graph_layout(edges: DataFrame, start: DataFrame, rounds: int = 30, negatives: int = 5, a: float = 1.577, b: float = 0.895) -> DataFrame:
+    """id, x, y: stochastic descent on the fuzzy-graph layout loss from a start layout (id, x, y), such as the first diffusion
+    components. A round pulls each node along all its edges by their weights and pushes it from negatives others, whom
+    hashes of the round choose; the step falls to 0. Two joins and an aggregation a round, each written. a and b shape the
+    curve 1 / (1 + a d^2b); these values fit a least distance of 0.1."""
+    box = start.agg(F.count("*").alias("n"), *[f(c).alias(f"{c}{i}") for c in "xy" for i, f in ((0, F.min), (1, F.max))]).first()
+    if not box.n:
+        return start.select("id", "x", "y")
+    wide = max(box.x1 - box.x0, box.y1 - box.y0) or 1.0
+    ids = written(placed(start.select("id", *[((F.col(c) - box[f"{c}0"]) * (10 / wide)).alias(c) for c in "xy"]), ["id"]), "layout")
+    places = ids.select("id", "place")
+    pos = ids.select("id", "x", "y")
+    clip = lambda c: F.greatest(F.lit(-4.0), F.least(F.lit(4.0), c))
+    for t in range(rounds):
+        other = pos.select(F.col("id").alias("dst"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+        e = edges.where("src <> dst").join(pos.withColumnRenamed("id", "src"), "src").join(other, "dst")
+        d2 = (F.col("x") - F.col("ox")) * (F.col("x") - F.col("ox")) + (F.col("y") - F.col("oy")) * (F.col("y") - F.col("oy"))
+        pull = F.when(d2 > 0, F.col("weight") * (-2 * a * b) * F.pow(d2, F.lit(b - 1)) / (1 + a * F.pow(d2, F.lit(b)))).otherwise(0.0)
+        far = places.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.lit(negatives)), lambda i: F.pmod(F.xxhash64("id", i, F.lit(t)), F.lit(box.n)))).alias("place"))
+        far = far.join(places.withColumnRenamed("id", "dst"), "place").where("id <> dst").join(pos, "id").join(other, "dst")
+        push = (2 * b) / ((0.001 + d2) * (1 + a * F.pow(d2, F.lit(b)))) / negatives
+        moves = e.select(F.col("src").alias("id"), *[clip(pull * (F.col(c) - F.col(f"o{c}"))).alias(f"d{c}") for c in "xy"])
+        moves = moves.unionByName(far.select("id", *[clip(push * (F.col(c) - F.col(f"o{c}"))).alias(f"d{c}") for c in "xy"]))
+        total = moves.groupBy("id").agg(F.sum("dx").alias("dx"), F.sum("dy").alias("dy"))
+        speed = 1.0 - t / rounds
+        pos = written(pos.join(total, "id", "left").select("id", *[(F.col(c) + speed * clip(F.coalesce(f"d{c}", F.lit(0.0)))).alias(c) for c in "xy"]), "layout")
+    return pos
+
+
+def mutual_neighbors(vectors: DataFrame, batch: str, k: int = 20) -> DataFrame:
+    """a, b: pairs of rows (id, vec, batch) of different batches that are each among the k nearest of the other's batch; a's batch sorts first."""
+    near = knn_by_batch(vectors, batch, k).join(vectors.select("id", F.col(batch).alias("own")), "id").where("own <> batch").select("id", "nbr", "own", "batch")
+    back = near.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"))
+    return near.where("own < batch").join(back, ["id", "nbr"]).select(F.col("id").alias("a"), F.col("nbr").alias("b"), F.col("own").alias("batch_a"), F.col("batch").alias("batch_b"))
+
+
+def align_batches(vectors: DataFrame, batch: str, k: int = 20, smooth: int = 15) -> DataFrame:
+    """id, vec with each batch moved onto those before it in sorted order: a row moves by the Gaussian mean of the steps (from b
+    to its mutual neighbour a) of the smooth nearest rows of its batch that have mutual neighbours. A batch without pairs stays."""
+    names = sorted(r[0] for r in vectors.select(batch).distinct().collect())  # batches are few
+    done = vectors.where(F.col(batch) == names[0]).select("id", F.col("vec").cast("array<double>").alias("vec")) if names else vectors.select("id", "vec")
+    minus = lambda p, q: F.zip_with(p, q, lambda s, t: s - t)
+    for name in names[1:]:
+        own = vectors.where(F.col(batch) == name).select("id", F.col("vec").cast("array<double>").alias("vec"))
+        both = done.withColumn("side", F.lit("0")).unionByName(own.withColumn("side", F.lit("1")))
+        pairs = mutual_neighbors(both, "side", k)
+        steps = pairs.join(done.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(own.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b")
+        steps = steps.select(F.col("b").alias("id"), F.posexplode(minus("va", "vb")).alias("i", "s")).groupBy("id", "i").agg(F.avg("s").alias("s"))
+        steps = written(steps.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda z: z["s"]).alias("step")), "steps")
+        near = written(knn_blocks(own.join(steps.select("id"), "id", "left_semi"), smooth, own), "step-neighbours")
+        width = near.agg(F.percentile("dist", 0.5)).first()[0] or 1.0
+        w = near.withColumn("w", F.exp(-F.col("dist") * F.col("dist") / (2 * width * width)))
+        mean = w.join(steps.withColumnRenamed("id", "nbr"), "nbr").select("id", "w", F.posexplode("step").alias("i", "s")).groupBy("id", "i").agg(F.try_divide(F.sum(F.col("w") * F.col("s")), F.sum("w")).alias("s"))
+        mean = mean.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda z: F.coalesce(z["s"], F.lit(0.0))).alias("step"))
+        moved = own.join(mean, "id", "left").select("id", F.when(F.col("step").isNull(), F.col("vec")).otherwise(F.zip_with("vec", "step", lambda s, t: s + t)).alias("vec"))
+        done = written(done.unionByName(moved), "aligned")
+    return done
+
+
 def direction_consistency(ref: DataFrame, cand: DataFrame) -> DataFrame:
     """Share of the weight of common edges whose signs agree; null without any. One row."""
     x = ref.select("src", "dst", F.col("weight").alias("a")).join(cand.select("src", "dst", F.col("weight").alias("b")), ["src", "dst"]).withColumn("p", F.col("a") * F.col("b"))

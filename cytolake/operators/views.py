@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cytolake.functions.numeric import neg_log10, stars, student_two_sided
 from cytolake.operators import ranking
-from cytolake.operators.cnv import sliding_mean
+from cytolake.operators.ordering import placed
 
 #: DOIs as they stand in prose.
 DOI = r"10\.[0-9]{4,9}/[-._;()/:A-Za-z0-9]+"
@@ -50,21 +50,26 @@ def boundaries(genes: DataFrame) -> DataFrame:
 
 
 def every_kth(df: DataFrame, key: str, target: int = 500) -> DataFrame:
-    """Every floor(n / target)-th row by key; all rows of small tables."""
-    n = df.agg(F.count("*").alias("sn"))
-    one = W.partitionBy(F.lit(0)).orderBy(key)
-    step = F.greatest(F.lit(1), F.floor(F.col("sn") / target))
-    return df.join(F.broadcast(n)).withColumn("sr", F.row_number().over(one) - 1).where(F.col("sr") % step == 0).drop("sn", "sr")
+    """Every floor(n / target)-th row by key; all rows of small tables. Keys are distinct."""
+    step = max(1, df.count() // target)
+    return placed(df, [key], "sr").where(F.col("sr") % step == 0).drop("sr")
 
 
-def gene_trends(expr: DataFrame, cells: DataFrame, genes: DataFrame, size: int = 50) -> DataFrame:
-    """gene_id, pt, cell_id, smoothed: each gene's values along pseudotime, zeros included; window min(size, n // 5 or 1), mirrored ends."""
+def gene_trends(expr: DataFrame, cells: DataFrame, genes: DataFrame, size: int = 50, chunk: int = 4096) -> DataFrame:
+    """gene_id, pt, cell_id, smoothed: each gene's values along pseudotime, zeros included; window min(size, n // 5 or 1), mirrored
+    ends. Cells get their places once; a gene's row is cut into chunks, which take along the rows that their windows reach."""
     n = cells.count()
     window = max(1, min(size, n // 5 or 1))
+    before, after = window // 2, window - window // 2 - 1
     listed = genes.agg(F.collect_list("gene_id").alias("gs"))  # a few dozen genes
-    grid = cells.select("cell_id", "pt").join(F.broadcast(listed)).select("cell_id", "pt", F.explode("gs").alias("gene_id"))
-    x = grid.join(expr, ["cell_id", "gene_id"], "left").select("gene_id", "pt", "cell_id", F.coalesce("value", F.lit(0.0)).alias("value"))
-    return sliding_mean(x, ["gene_id"], ["pt", "cell_id"], "value", window, "reflect")
+    grid = placed(cells.select("cell_id", "pt"), ["pt", "cell_id"]).join(F.broadcast(listed)).select("cell_id", "pt", "place", F.explode("gs").alias("gene_id"))
+    x = grid.join(expr.select("cell_id", "gene_id", "value"), ["cell_id", "gene_id"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+    place = F.col("place")
+    x = x.withColumn("p", F.explode(F.filter(F.array(place, -1 - place, 2 * n - 1 - place), lambda p: (p >= -before) & (p < n + after))))
+    first, last = F.floor(F.greatest(F.col("p") - after, F.lit(0)) / chunk), F.floor(F.least(F.col("p") + before, F.lit(n - 1)) / chunk)
+    x = x.withColumn("chunk", F.explode(F.sequence(first, last)))
+    mean = F.avg("value").over(W.partitionBy("gene_id", "chunk").orderBy("p").rowsBetween(-before, after))
+    return x.withColumn("smoothed", mean).where((F.col("p") == place) & (F.floor(place / chunk) == F.col("chunk"))).select("gene_id", "pt", "cell_id", "smoothed")
 
 
 def density(values: DataFrame, by: str, value: str, points: int = 200) -> DataFrame:
