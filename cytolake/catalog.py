@@ -178,23 +178,20 @@ def mean_expr_by_type(s, d):
 
 @query("""WITH n AS (SELECT cell_type, count(*) AS n_cells FROM cells GROUP BY 1)
 SELECT cell_type, gene_id, round_even(sum(value) / n_cells, 4) AS mean, round_even(100.0 * count(*) FILTER (value > 0) / n_cells, 2) AS pct
-FROM norm JOIN cells USING (cell_id) JOIN n USING (cell_type) WHERE gene_id <= 10 GROUP BY cell_type, gene_id, n_cells""")
+FROM norm JOIN cells USING (cell_id) JOIN n USING (cell_type) GROUP BY cell_type, gene_id, n_cells""")
 def checkpoint_profile(s, d):
-    x = matrix.normalize(B.expr(s, d)).where("gene_id <= 10")
-    got = groups.mean_by_label(x, B.cells(s, d), "cell_type", 0)
+    got = groups.mean_by_label(matrix.normalize(B.expr(s, d)), B.cells(s, d), "cell_type", 0)
     return got.select("cell_type", "gene_id", F.bround("mean", 4).alias("mean"), F.bround("pct", 2).alias("pct"))
 
 
 @query("""WITH n AS (SELECT cell_type, count(*) AS n_cells FROM cells GROUP BY 1),
 m AS (SELECT cell_type, gene_id, sum(value) / n_cells AS mean FROM norm JOIN cells USING (cell_id) JOIN n USING (cell_type) GROUP BY cell_type, gene_id, n_cells),
-pairs AS (SELECT i AS ligand, i + 100 AS receptor FROM range(1, 19) t(i))
+pairs AS (SELECT gene_id AS ligand, gene_id + 100 AS receptor FROM genes)
 SELECT ligand, receptor, l.cell_type AS source, r.cell_type AS target, round(l.mean, 6) AS ligand_expr, round(r.mean, 6) AS receptor_expr, round(l.mean * r.mean, 6) AS lr_score
 FROM pairs JOIN m l ON l.gene_id = ligand JOIN m r ON r.gene_id = receptor WHERE l.mean * r.mean > 0""")
 def lr_interactions(s, d):
-    pairs = s.range(1, 19).select(F.col("id").alias("ligand"), (F.col("id") + 100).alias("receptor"))
-    used = pairs.select(F.col("ligand").alias("gene_id")).union(pairs.select("receptor"))
-    x = matrix.normalize(B.expr(s, d)).join(used, "gene_id", "left_semi")
-    means = groups.mean_by_label(x, B.cells(s, d), "cell_type", 0).withColumnRenamed("gene_id", "gene")
+    pairs = B.genes(s, d).select(F.col("gene_id").alias("ligand"), (F.col("gene_id") + 100).alias("receptor"))
+    means = written(groups.mean_by_label(matrix.normalize(B.expr(s, d)), B.cells(s, d), "cell_type", 0).withColumnRenamed("gene_id", "gene"), "means")
     return r6(scoring.ligand_receptor(means, pairs, "cell_type"), "ligand_expr", "receptor_expr", "lr_score")
 
 
@@ -618,13 +615,26 @@ def velocity_steady_state(s, d):
     return r6(reads.gamma_origin(layers, "s", "u").join(with_offset, "gene_id"), "gamma", "offset", "slope")
 
 
-GTF_LINES = ['#!genome', 'chr1\tX\texon\t101\t200\t.\t+\t.\tgene_id "g1"; gene_name "ABC"; exon_number "1";', 'chr1\tX\tgene\t101\t900\t.\t+\t.\tgene_id "g1"; gene_name "ABC";', 'chr2\tX\texon\t5\t9\t.\t-\t.\tgene_name "DEF"', 'chr2\tX\texon\t50\t90\t.\t-\t.\tgene_id "g3";']
+#: A comment, an exon, its gene, an exon without a gene's name, and one of another contig, of each part.
+GTF_SQL = r"""lines AS (SELECT unnest(['#!part ' || p_partkey, 'chr' || p_size || e'\tX\texon\t' || (p_partkey + 1) || e'\t' || (p_partkey + p_size) || e'\t.\t+\t.\tgene_id "g' || p_partkey || '"; gene_name "N' || p_partkey || '"; exon_number "1";',
+  'chr' || p_size || e'\tX\tgene\t1\t9\t.\t+\t.\tgene_id "g' || p_partkey || '"; gene_name "N' || p_partkey || '";', e'chr2\tX\texon\t50\t90\t.\t-\t.\tgene_id "g' || p_partkey || '";', e'chrM\tX\texon\t5\t9\t.\t-\t.\tgene_name "M' || p_partkey || '"']) AS line FROM part)"""
 
 
-@query("SELECT * FROM (VALUES ('chr1', 'ABC', 100::BIGINT, 200::BIGINT), ('chr2', 'DEF', 4::BIGINT, 9::BIGINT)) t(chrom, gene, start, \"end\")", views=False)
+@query(rf"""WITH {GTF_SQL}, f AS (SELECT string_split(line, e'\t') AS f FROM lines WHERE line NOT LIKE '#%'), x AS (SELECT f[1] AS chrom, regexp_extract(f[9], 'gene_name "([^"]*)"', 1) AS gene, f[4]::BIGINT - 1 AS start, f[5]::BIGINT AS "end" FROM f WHERE f[3] = 'exon')
+SELECT * FROM x WHERE gene <> ''""", views=False)
 def gtf_parse(s, d):
-    lines = s.range(len(GTF_LINES)).select(F.get(F.array(*map(F.lit, GTF_LINES)), F.col("id").cast("int")).alias("value"))
-    return gtf.exons_of_lines(lines)
+    part = B.read(s, d, "part")
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    end = (F.col("p_partkey") + F.col("p_size")).cast("string")
+    lines = F.array(
+        text("#!part ", key),
+        text("chr", size, "\tX\texon\t", (F.col("p_partkey") + 1).cast("string"), "\t", end, '\t.\t+\t.\tgene_id "g', key, '"; gene_name "N', key, '"; exon_number "1";'),
+        text("chr", size, '\tX\tgene\t1\t9\t.\t+\t.\tgene_id "g', key, '"; gene_name "N', key, '";'),
+        text('chr2\tX\texon\t50\t90\t.\t-\t.\tgene_id "g', key, '";'),
+        text('chrM\tX\texon\t5\t9\t.\t-\t.\tgene_name "M', key, '"'),
+    )
+    return gtf.exons_of_lines(part.select(F.explode(lines).alias("value")))
 
 
 # -- tables behind figures
@@ -649,13 +659,14 @@ def arrow_sample(s, d):
     return views.every_kth(B.cells(s, d), "cell_id").select("cell_id")
 
 
-@query("""WITH g AS (SELECT i AS gene_id FROM range(6) r(i)), w AS (SELECT greatest(1, least(50, CASE WHEN count(*) // 5 = 0 THEN 1 ELSE count(*) // 5 END)) AS s FROM ptime),
-x AS (SELECT g.gene_id, p.cell_id, coalesce(v.value, 0) AS v, row_number() OVER (PARTITION BY g.gene_id ORDER BY p.pt, p.cell_id) AS i, count(*) OVER (PARTITION BY g.gene_id) AS n FROM g CROSS JOIN ptime p LEFT JOIN norm v ON v.cell_id = p.cell_id AND v.gene_id = g.gene_id),
+@query(f"""WITH {CORR_SQL}, tg AS (SELECT gene_id FROM cor ORDER BY round(abs(corr), 9) DESC, gene_id LIMIT 30), w AS (SELECT greatest(1, least(50, CASE WHEN count(*) // 5 = 0 THEN 1 ELSE count(*) // 5 END)) AS s FROM ptime),
+x AS (SELECT tg.gene_id, p.cell_id, coalesce(v.value, 0) AS v, row_number() OVER (PARTITION BY tg.gene_id ORDER BY p.pt, p.cell_id) AS i, count(*) OVER (PARTITION BY tg.gene_id) AS n FROM tg CROSS JOIN ptime p LEFT JOIN norm v ON v.cell_id = p.cell_id AND v.gene_id = tg.gene_id),
 m AS (SELECT gene_id, cell_id, n, unnest(range(i - s // 2, i + s - s // 2)) AS j FROM x, w), t AS (SELECT *, CASE WHEN j < 1 THEN 1 - j WHEN j > n THEN 2 * n + 1 - j ELSE j END AS k FROM m)
 SELECT t.gene_id, t.cell_id, round(avg(x.v), 6) AS smoothed FROM t JOIN x ON x.gene_id = t.gene_id AND x.i = t.k GROUP BY 1, 2""")
 def gene_trends(s, d):
-    genes = B.genes(s, d).where("gene_id <= 5").select("gene_id")
-    return r6(views.gene_trends(matrix.normalize(B.expr(s, d)), B.pseudotime(s, d), genes), "smoothed").select("gene_id", "cell_id", "smoothed")
+    x, pt = written(matrix.normalize(B.expr(s, d)), "norm"), B.pseudotime(s, d)
+    top = ranking.pearson_with_cells(x, pt, "pt").orderBy(F.desc(F.round(F.abs("corr"), 9)), "gene_id").limit(30).select("gene_id")
+    return r6(views.gene_trends(x, pt, top), "smoothed").select("gene_id", "cell_id", "smoothed")
 
 
 @query("""WITH g AS (SELECT cluster, count(pt) AS n, stddev_samp(pt) AS sd FROM layout GROUP BY 1), b AS (SELECT min(pt) AS lo, max(pt) AS hi FROM layout),
@@ -670,11 +681,11 @@ def absolute_ranking(s, d):
     return r6(views.absolute_ranking(_scores(s, d)[0], "set_name", "score"), "strength")
 
 
-@query(r"""WITH t AS (SELECT doc_id, 'see doi 10.' || (1000 + doc_id) || '/abc.' || doc_id || '. And 10.12345/x-y_' || doc_id || ', too' AS text FROM documents)
+@query(r"""WITH t AS (SELECT doc_id, coalesce(text, '') || ' see doi 10.' || (1000 + doc_id) || '/abc.' || doc_id || '. And 10.12345/x-y_' || doc_id || ', too' AS text FROM documents)
 SELECT doc_id, list_transform(regexp_extract_all(text, '10\.[0-9]{4,9}/[-._;()/:A-Za-z0-9]+'), lambda x: regexp_replace(x, '[.,;)]+$', ''))::VARCHAR AS dois FROM t""", views=False)
 def doi_extract(s, d):
     i = F.col("doc_id").cast("string")
-    t = B.read(s, d, "documents").select("doc_id", F.concat(F.lit("see doi 10."), (F.col("doc_id") + 1000).cast("string"), F.lit("/abc."), i, F.lit(". And 10.12345/x-y_"), i, F.lit(", too")).alias("text"))
+    t = B.read(s, d, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(" see doi 10."), (F.col("doc_id") + 1000).cast("string"), F.lit("/abc."), i, F.lit(". And 10.12345/x-y_"), i, F.lit(", too")).alias("text"))
     return views.dois(t, "text").select("doc_id", F.concat(F.lit("["), F.array_join("dois", ", "), F.lit("]")).alias("dois"))
 
 
@@ -714,7 +725,7 @@ def diffusion_pseudotime(s, d):
 @query()
 def doublet_scores(s, d):
     x = B.expr(s, d)
-    top = [r.gene_id for r in matrix.highly_variable(matrix.normalize(x), matrix.count_cells(B.cells(s, d)), 60).collect()]
+    top = [r.gene_id for r in matrix.highly_variable(matrix.normalize(x), matrix.count_cells(B.cells(s, d)), 200).collect()]
     return embedding.doublet_scores(x, B.cells(s, d), top)
 
 

@@ -97,9 +97,10 @@ def gene_set_availability(s, d):
 
 
 @query(f"""WITH {READS_SQL}, l AS (SELECT cb AS cell_id, gn AS gene_id, count(*) FILTER (spliced) AS spliced, count(*) FILTER (NOT spliced) AS unspliced FROM cls GROUP BY 1, 2)
-SELECT * FROM l SEMI JOIN (SELECT cell_id FROM cells WHERE score > 0) USING (cell_id) SEMI JOIN (SELECT gene_id FROM genes WHERE gene_id % 3 = 0) USING (gene_id)""")
+SELECT * FROM l SEMI JOIN (SELECT cell_id FROM expr GROUP BY 1 HAVING sum(value) BETWEEN 500 AND 2000) USING (cell_id) SEMI JOIN (SELECT gene_id FROM expr SEMI JOIN (SELECT cell_id FROM expr GROUP BY 1 HAVING sum(value) BETWEEN 500 AND 2000) USING (cell_id)) USING (gene_id)""")
 def merge_layers(s, d):
-    some = B.cells(s, d).where("score > 0").select("cell_id").join(B.genes(s, d).where("gene_id % 3 = 0").agg(F.collect_list("gene_id").alias("gs"))).select("cell_id", F.explode("gs").alias("gene_id"))
+    x = B.expr(s, d)
+    some = x.join(x.groupBy("cell_id").agg(F.sum("value").alias("t")).where("t between 500 and 2000"), "cell_id", "left_semi")
     return reads.merge_layers(some, reads.layer_counts(_classified(s, d))).select("cell_id", "gene_id", "spliced", "unspliced")
 
 
@@ -198,14 +199,14 @@ def permutation_z(s, d):
 
 
 @query("""WITH n AS (SELECT cell_type, count(*) AS n_cells FROM cells GROUP BY 1), m AS (SELECT cell_type, gene_id, sum(value) / n_cells AS mean FROM norm JOIN cells USING (cell_id) JOIN n USING (cell_type) GROUP BY cell_type, gene_id, n_cells),
-pairs AS (SELECT gene_id AS ligand, gene_id + 1 AS receptor FROM genes WHERE gene_id % 10 = 1),
+pairs AS (SELECT gene_id AS ligand, gene_id + 1 AS receptor FROM genes),
 p AS (SELECT ligand, receptor, l.cell_type AS source, r.cell_type AS target, l.mean AS x, r.mean AS y FROM pairs JOIN m l ON l.gene_id = ligand JOIN m r ON r.gene_id = receptor WHERE l.mean > 0 AND r.mean > 0),
 ls AS (SELECT ligand, source, x / sum(x) OVER (PARTITION BY ligand) AS s FROM (SELECT DISTINCT ligand, source, x FROM p)), rs AS (SELECT receptor, target, y / sum(y) OVER (PARTITION BY receptor) AS s FROM (SELECT DISTINCT receptor, target, y FROM p)),
 t AS (SELECT p.*, x * y AS lr_score, (x + y) / 2 AS mn, ls.s * rs.s AS specificity FROM p JOIN ls USING (ligand, source) JOIN rs USING (receptor, target)),
 k AS (SELECT *, list_sort([rank() OVER (ORDER BY round(lr_score, 9) DESC) / count(*) OVER (), rank() OVER (ORDER BY round(mn, 9) DESC) / count(*) OVER (), rank() OVER (ORDER BY round(specificity, 9) DESC) / count(*) OVER ()]) AS r FROM t)
 SELECT ligand, receptor, source, target, round(lr_score, 6) AS lr_score, round(specificity, 6) AS specificity, round(least(1, 3 * least(1 - pow(1 - r[1], 3), 3 * r[2] * r[2] - 2 * pow(r[2], 3), pow(r[3], 3))), 4) AS aggregate_rank FROM k""")
 def lr_consensus(s, d):
-    pairs = B.genes(s, d).where("gene_id % 10 = 1").select(F.col("gene_id").alias("ligand"), (F.col("gene_id") + 1).alias("receptor"))
+    pairs = B.genes(s, d).select(F.col("gene_id").alias("ligand"), (F.col("gene_id") + 1).alias("receptor"))
     means = written(groups.mean_by_label(matrix.normalize(B.expr(s, d)), B.cells(s, d), "cell_type", 0).withColumnRenamed("gene_id", "gene"), "means")
     got = scoring.consensus_rank(written(scoring.ligand_receptor(means, pairs, "cell_type"), "pairs"))
     return r6(got, "lr_score", "specificity").withColumn("aggregate_rank", F.round("aggregate_rank", 4))

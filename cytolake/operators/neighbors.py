@@ -128,7 +128,9 @@ def knn_blocks(vectors: DataFrame, k: int, queries: DataFrame | None = None, blo
     deal = lambda df, n: df.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("own"))
     left = deal(q, nq).select("id", "vec", F.col("own").alias("i"), F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("j"))
     right = deal(vectors, nb).select("id", "vec", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("i"), F.col("own").alias("j"))
-    got = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(_block_search(k, alone), "id long, nbr long, d2 double")
+    pair = (F.col("i") * nb + F.col("j") + (F.rand(0) * 0)).cast("int")  # rand: with one block each the key would be a constant, and the exchange go
+    left, right = (x.select("id", "vec", pair.alias("pair")) for x in (left, right))
+    got = left.groupBy("pair").cogroup(right.groupBy("pair")).applyInArrow(_block_search(k, alone), "id long, nbr long, d2 double")
     return got.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("d2", "nbr"))).where(F.col("rank") <= k).select("id", "nbr", F.sqrt("d2").alias("dist"), "rank")
 
 
@@ -173,8 +175,9 @@ def knn_cells(vectors: DataFrame, k: int, queries: DataFrame | None = None, cell
     size = written(lots(own, "rows").join(lots(asked, "asks"), "cell"), "knn-cells")  # a row a cell
     lot = lambda name: F.pmod(F.xxhash64("id"), F.col(name)).cast("int")
     each = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1))
-    left = asked.join(F.broadcast(size), "cell").select("id", "vec", "cell", each("rows").alias("i"), lot("asks").alias("j"))
-    right = own.join(F.broadcast(size), "cell").select("id", "vec", "cell", lot("rows").alias("i"), each("asks").alias("j"))
+    cell = (F.col("cell") + (F.rand(0) * 0)).cast("int").alias("cell")  # see knn_blocks
+    left = asked.join(F.broadcast(size), "cell").select("id", "vec", cell, each("rows").alias("i"), lot("asks").alias("j"))
+    right = own.join(F.broadcast(size), "cell").select("id", "vec", cell, lot("rows").alias("i"), each("asks").alias("j"))
     got = left.groupBy("cell", "i", "j").cogroup(right.groupBy("cell", "i", "j")).applyInArrow(_block_search(k, alone), "id long, nbr long, d2 double")
     return got.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("d2", "nbr"))).where(F.col("rank") <= k).select("id", "nbr", F.sqrt("d2").alias("dist"), "rank")
 
@@ -346,7 +349,7 @@ def graph_layout(edges: DataFrame, start: DataFrame, rounds: int = 30, negatives
 
 def mutual_neighbors(vectors: DataFrame, batch: str, k: int = 20) -> DataFrame:
     """a, b: pairs of rows (id, vec, batch) of different batches that are each among the k nearest of the other's batch; a's batch sorts first."""
-    near = knn_by_batch(vectors, batch, k).join(vectors.select("id", F.col(batch).alias("own")), "id").where("own <> batch").select("id", "nbr", "own", "batch")
+    near = written(knn_by_batch(vectors, batch, k), "batch-neighbours").join(vectors.select("id", F.col(batch).alias("own")), "id").where("own <> batch").select("id", "nbr", "own", "batch")
     back = near.select(F.col("nbr").alias("id"), F.col("id").alias("nbr"))
     return near.where("own < batch").join(back, ["id", "nbr"]).select(F.col("id").alias("a"), F.col("nbr").alias("b"), F.col("own").alias("batch_a"), F.col("batch").alias("batch_b"))
 
@@ -364,7 +367,7 @@ def align_batches(vectors: DataFrame, batch: str, k: int = 20, smooth: int = 15)
         steps = pairs.join(done.select(F.col("id").alias("a"), F.col("vec").alias("va")), "a").join(own.select(F.col("id").alias("b"), F.col("vec").alias("vb")), "b")
         steps = steps.select(F.col("b").alias("id"), F.posexplode(minus("va", "vb")).alias("i", "s")).groupBy("id", "i").agg(F.avg("s").alias("s"))
         steps = written(steps.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda z: z["s"]).alias("step")), "steps")
-        near = written(knn_blocks(own.join(steps.select("id"), "id", "left_semi"), smooth, own), "step-neighbours")
+        near = written(knn_blocks(written(own.join(steps.select("id"), "id", "left_semi"), "step-rows"), smooth, own), "step-neighbours")
         width = near.agg(F.percentile("dist", 0.5)).first()[0] or 1.0
         w = near.withColumn("w", F.exp(-F.col("dist") * F.col("dist") / (2 * width * width)))
         mean = w.join(steps.withColumnRenamed("id", "nbr"), "nbr").select("id", "w", F.posexplode("step").alias("i", "s")).groupBy("id", "i").agg(F.try_divide(F.sum(F.col("w") * F.col("s")), F.sum("w")).alias("s"))

@@ -17,7 +17,8 @@ FLAGS: list[tuple[str, str, object]] = [
     ("--expected-doublet-rate", "doublet.expected_rate", float), ("--n-top-genes", "clustering.n_top_genes", int), ("--n-pcs", "clustering.n_pcs", int), ("--n-neighbors", "clustering.n_neighbors", int),
     ("--resolution", "clustering.resolution", float), ("--de-method", "de_method", ["wilcoxon", "t-test", "t-test_overestim_var", "logreg"]), ("--de-n-genes", "de_n_genes", int),
     ("--de-pval-threshold", "de_alpha", float), ("--de-logfc-threshold", "de_lfc", float), ("--annotation-threshold", "annotation_threshold", float),
-    ("--batch-key", "batch.key", str), ("--batch-method", "batch.method", ["harmony", "bbknn", "combat"]), ("--root-cluster", "root_cluster", str),
+    ("--batch-key", "batch.key", str), ("--batch-method", "batch.method", ["harmony", "bbknn", "combat", "mutual"]), ("--root-cluster", "root_cluster", str),
+    ("--neighbors", "clustering.neighbors", ["exact", "cells"]), ("--layout", "clustering.layout", ["components", "graph"]), ("--pseudobulk-backend", "pseudobulk_backend", ["rank", "negative_binomial"]), ("--fate-backend", "fate_backend", ["graph", "absorbing"]),
     ("--cnv-reference-group", "cnv.reference_group", str), ("--cnv-window-size", "cnv.window_size", int), ("--velocity-reads", "velocity.reads", str), ("--velocity-layers", "velocity.layers", str),
     ("--velocity-gtf", "velocity.gtf", str), ("--velocity-reference-dir", "velocity.reference_dir", str), ("--velocity-min-shared-counts", "velocity.min_shared_counts", int),
     ("--mutations-table", "mutations.table", str), ("--mutations-study", "mutations.study", str), ("--mutations-top-n", "mutations.top_n", int),

@@ -39,6 +39,8 @@ class Clustering:
     resolution: float = 0.8
     random_state: int = 0
     scale: bool = False
+    neighbors: str = "exact"  # or "cells": an index, with recall below 1
+    layout: str = "components"  # or "graph": descent on the neighbour graph, from the first two components
 
 
 @dataclass
@@ -56,7 +58,7 @@ class CopyNumber:
 
 @dataclass
 class Velocity:
-    reads: str | None = None  # table of aligned reads
+    reads: str | None = None  # table of aligned reads, or a BAM file
     layers: str | None = None  # table of spliced and unspliced counts
     gtf: str | None = None
     reference_dir: str | None = None
@@ -100,6 +102,8 @@ class Run:
     de_alpha: float = 0.05
     de_lfc: float = 0.25
     annotation_threshold: float = 0.1
+    pseudobulk_backend: str = "rank"  # or "negative_binomial"
+    fate_backend: str = "graph"  # or "absorbing"
 
     def problems(self) -> list[str]:
         """What is wrong with the values; empty if nothing is."""

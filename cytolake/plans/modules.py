@@ -11,7 +11,7 @@ from cytolake.functions import panels
 from cytolake.functions.numeric import cyt, finite
 from cytolake.operators import cnv, embedding, groups, matrix, neighbors, ranking, reads, scoring
 from cytolake.plans.runner import Context
-from cytolake.sources import gtf
+from cytolake.sources import bam, gtf
 from cytolake.sources.tables import read_any
 
 REGISTRY: dict[str, Callable[[Context], None]] = {}
@@ -93,9 +93,12 @@ def doublet_detection(ctx: Context) -> None:
 
 def _graph(ctx: Context, owner: str, vectors: DataFrame, k: int) -> None:
     n = vectors.count()
-    near = ctx.put(owner, "knn", neighbors.knn_blocks(vectors, max(1, min(k, n) - 1)))
-    ctx.put(owner, "graph", neighbors.connectivities(near))
-    ctx.put(owner, "layout", vectors.select("id", F.col("vec")[0].alias("x"), F.coalesce(F.get("vec", F.lit(1)), F.lit(0.0)).alias("y")))
+    c = ctx.cfg.clustering
+    find = {"exact": neighbors.knn_blocks, "cells": neighbors.knn_cells}[c.neighbors]
+    near = ctx.put(owner, "knn", find(vectors, max(1, min(k, n) - 1)))
+    graph = ctx.put(owner, "graph", neighbors.connectivities(near))
+    start = vectors.select("id", F.col("vec")[0].alias("x"), F.coalesce(F.get("vec", F.lit(1)), F.lit(0.0)).alias("y"))
+    ctx.put(owner, "layout", neighbors.graph_layout(graph, start) if c.layout == "graph" else start)
 
 
 @module
@@ -140,8 +143,10 @@ def batch_correction(ctx: Context) -> None:
         genes = [r.gene_id for r in ctx["variable_genes"].collect()]
         scores, _ = embedding.pca(embedding.dense(lognorm, cells, genes), max(1, min(ctx.cfg.clustering.n_pcs, len(genes))))
         _graph(ctx, "batch_correction", ctx.put("batch_correction", "pca", scores), k)
+    elif method == "mutual":
+        _graph(ctx, "batch_correction", ctx.put("batch_correction", "pca", neighbors.align_batches(vectors, "batch")), k)
     else:
-        raise ValueError(f"unknown batch method {method}; known: harmony, bbknn, combat")
+        raise ValueError(f"unknown batch method {method}; known: harmony, bbknn, combat, mutual")
     lab = embedding.communities(ctx["graph"], ctx.cfg.clustering.resolution)
     lab = ctx.put("batch_correction", "clusters", lab.select(F.col("id").alias("cell_id"), "cluster"))
     ctx.note(batch_correction_status="completed", batch_method=method, n_batches=n, n_clusters_after_batch=lab.select("cluster").distinct().count())
@@ -238,7 +243,8 @@ def rna_velocity(ctx: Context) -> None:
             raise FileNotFoundError("reads need a gene annotation: give its path, or a reference folder that holds genes/genes.gtf[.gz]")
         exons = gtf.read_exons(ctx.spark, str(path))
         who = ctx["cells"].select("cell_id", "barcode")
-        r = ctx.spark.read.parquet(v.reads).join(who.withColumnRenamed("barcode", "cb"), "cb").withColumn("cb", F.col("cell_id"))
+        table = bam.read_bam(ctx.spark, [v.reads]) if v.reads.endswith(".bam") else ctx.spark.read.parquet(v.reads)
+        r = table.join(who.withColumnRenamed("barcode", "cb"), "cb").withColumn("cb", F.col("cell_id"))
         got = reads.classify_reads(r, exons)
         sym = ctx["genes"].select(F.col("symbol").alias("gn"), "gene_id")
         layers = reads.layer_counts(got.join(sym, "gn").withColumn("gn", F.col("gene_id")))
@@ -294,6 +300,7 @@ def cell_communication(ctx: Context) -> None:
     x = ctx["lognorm"].join(some.select("gene_id"), "gene_id", "left_semi")
     means = groups.mean_by_label(x, ctx["cell_types"].select("cell_id", "cell_type"), "cell_type", 5).join(some, "gene_id")
     got = ctx.put("cell_communication", "ligand_receptor", scoring.ligand_receptor(means, pairs, "cell_type"))
+    ctx.put("cell_communication", "ligand_receptor_consensus", scoring.consensus_rank(got))
     top = got.orderBy(F.desc("lr_score"), "ligand", "receptor", "source", "target").limit(10).collect()
     ctx.note(cc_top_interactions=[f"{r.ligand}-{r.receptor}: {r.source} → {r.target}" for r in top])
 
@@ -406,7 +413,15 @@ def pseudobulk_de(ctx: Context) -> None:
     if not bulk.limit(1).count():
         ctx.note(pseudobulk_de_status="skipped_no_valid_pseudobulk_groups")
         return
-    got = ctx.put("pseudobulk_de", "pseudobulk_de", ranking.pseudobulk_contrasts(bulk, ctx["genes"], "sample", "grp"))
+    if ctx.cfg.pseudobulk_backend == "negative_binomial":  # counts of the units of one group against all others
+        counts = ctx.put("pseudobulk_de", "pseudobulk_counts", groups.pseudobulk(ctx["expr"], units, "sample", "grp").withColumn("unit", F.concat_ws("|", "sample", "grp")))
+        parts = [ranking.negative_binomial(counts, "unit", "grp", r.grp).withColumn("grp", F.lit(r.grp)) for r in counts.select("grp").distinct().orderBy("grp").collect()]
+        tests = parts[0]
+        for p in parts[1:]:
+            tests = tests.unionByName(p)
+        got = ctx.put("pseudobulk_de", "pseudobulk_de", tests)
+    else:
+        got = ctx.put("pseudobulk_de", "pseudobulk_de", ranking.pseudobulk_contrasts(bulk, ctx["genes"], "sample", "grp"))
     ctx.note(pseudobulk_de_status="completed" if got.limit(1).count() else "no_testable_groups", pseudobulk_de_significant_genes=got.where("padj < 0.05").count())
 
 
@@ -414,7 +429,12 @@ def pseudobulk_de(ctx: Context) -> None:
 def cell_fate(ctx: Context) -> None:
     cells = ctx["pseudotime"].join(ctx["clusters"], "cell_id").select(F.col("cell_id").alias("id"), F.col("cluster").alias("label"), "pt")
     term = ctx.put("cell_fate", "terminal_states", neighbors.terminal_clusters(cells))
-    ctx.put("cell_fate", "fate_probabilities", neighbors.fate_probabilities(ctx["graph"], cells))
+    if ctx.cfg.fate_backend == "absorbing":
+        ends = cells.join(term.select(F.col("cluster").alias("label")), "label").select("id", F.col("label").alias("fate"))
+        fates = neighbors.absorption(ctx["graph"], ends)
+    else:
+        fates = neighbors.fate_probabilities(ctx["graph"], cells)
+    ctx.put("cell_fate", "fate_probabilities", fates)
     mean = ctx["fate_probabilities"].join(cells.select("id", "label"), "id").groupBy("label", "fate").agg(F.avg("probability").alias("probability"))
     ctx.put("cell_fate", "fate_per_cluster", mean)
     ctx.note(n_terminal_states=term.count())
