@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import BASE, GOLDEN, buffer_of, docs_of, lean, mix, partitions, prefix_hash, ragged, range_hash, shared_dir, slices, table, window_hash, word_spans
+from cytolake.llm.common import BASE, GOLDEN, buffer_of, discard, docs_of, lean, mix, partitions, prefix_hash, ragged, range_hash, shared_dir, slices, table, window_hash, word_spans
 
 WORDS, THRESHOLD = 5, 0.8
 REGISTERS, BANDS = 128, 32
@@ -316,14 +316,14 @@ def search(texts: DataFrame, members: DataFrame, root: DataFrame, words: int = W
     named = members.join(root.select(F.col("id").alias("key"), "root"), "key", "left").select("band", "key", F.coalesce("root", "key").alias("root"))
     of = named.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(1))).alias("y"))
     mixed = of.where("lo <> hi").groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band")
-    at = shared_dir(spark, "near-mixed")
-    named.join(mixed, "band").write.parquet(at)
-    left = spark.read.parquet(at)
+    mixed_at, texts_at, blocks_at, at = (shared_dir(spark, x) for x in ("near-mixed", "near-left", "near-blocks", "near-links"))
+    named.join(mixed, "band").write.parquet(mixed_at)
+    left = spark.read.parquet(mixed_at)
     if not left.limit(1).count():
+        discard(spark, mixed_at)
         return None
-    at = shared_dir(spark, "near-left")
-    texts.dropDuplicates(["key"]).join(left.select("key").distinct().hint("shuffle_hash"), "key").write.parquet(at)
-    texts = spark.read.parquet(at)
+    texts.dropDuplicates(["key"]).join(left.select("key").distinct().hint("shuffle_hash"), "key").write.parquet(texts_at)
+    texts = spark.read.parquet(texts_at)
     # A text's share of a block. A class of more than a block has blocks of its own, by key; the others are dealt by class, so that few blocks hold several.
     share = F.greatest(F.octet_length("text") / F.lit(BLOCK_BYTES), F.lit(1 / block)).alias("share")
     sized = left.join(texts.select("key", share), "key")
@@ -331,9 +331,8 @@ def search(texts: DataFrame, members: DataFrame, root: DataFrame, words: int = W
     small = own.where("parts = 1").groupBy("band").agg(F.ceil(F.sum("w")).alias("deal"))
     own = own.join(small, "band", "left").select("band", "root", "parts", "deal")
     block_of = F.when(F.col("parts") > 1, F.xxhash64("root", F.pmod(F.xxhash64("key"), "parts"))).otherwise(F.pmod(F.xxhash64("root"), "deal"))
-    at = shared_dir(spark, "near-blocks")
-    left.join(own, ["band", "root"]).select("band", "key", "root", block_of.alias("block")).write.parquet(at)
-    placed = spark.read.parquet(at)
+    left.join(own, ["band", "root"]).select("band", "key", "root", block_of.alias("block")).write.parquet(blocks_at)
+    placed = spark.read.parquet(blocks_at)
     blocks = placed.groupBy("band", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     side = lambda c: blocks.select("band", F.col("block").alias(c), F.col("lo").alias(f"{c}_lo"), F.col("hi").alias(f"{c}_hi"))
     todo = side("a").join(side("b"), "band").where("a <= b and (a_lo <> a_hi or b_lo <> b_hi or a_lo <> b_lo)").select("band", "a", "b")
@@ -341,8 +340,8 @@ def search(texts: DataFrame, members: DataFrame, root: DataFrame, words: int = W
     asked = asked.unionByName(placed.join(todo.where("a < b").withColumn("block", F.col("b")), ["band", "block"]).withColumn("side", F.lit(1)))
     sent = texts.join(asked, "key").select("band", "a", "b", "side", "key", "root", "text")
     sent = sent.repartition(partitions(spark), "band", "a", "b").sortWithinPartitions("band", "a", "b")
-    at = shared_dir(spark, "near-links")
     sent.mapInArrow(lean(_search(words, threshold)), "key binary, leader binary, similarity double").write.parquet(at)
+    discard(spark, mixed_at, texts_at, blocks_at)
     return spark.read.parquet(at)
 
 
@@ -356,6 +355,7 @@ def links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, reg
     members = spark.read.parquet(at)
     found = verify(texts, members.groupBy("key", "leader").agg(F.min("salt").alias("salt")), words, threshold)
     more = search(texts, members.select("band", "key"), components(found, "key", "leader"), words, threshold, block)
+    discard(spark, at)
     return found if more is None else found.unionByName(more)
 
 
@@ -364,25 +364,27 @@ def components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     ids of the same label at once, and jump to their own labels' labels, over tables written each round, until no label falls."""
     spark = pairs.sparkSession
     both = pairs.select(F.col(a).alias("id"), F.col(b).alias("to")).union(pairs.select(F.col(b).alias("id"), F.col(a).alias("to"))).distinct()
-    at = shared_dir(spark, "edges")
-    both.write.parquet(at)
-    both = spark.read.parquet(at)
-    labels = both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("root"))
+    edges = shared_dir(spark, "edges")
+    both.write.parquet(edges)
+    both = spark.read.parquet(edges)
+    labels, last = both.groupBy("id").agg(F.min("to").alias("m")).select("id", F.least("id", "m").alias("root")), None
     while True:
-        at = shared_dir(spark, "labels")
-        labels.write.parquet(at)
-        labels = spark.read.parquet(at)
+        now = shared_dir(spark, "labels")
+        labels.write.parquet(now)
+        labels = spark.read.parquet(now)
         near = both.join(labels.select(F.col("id").alias("to"), "root"), "to").groupBy("id").agg(F.min("root").alias("m"))
         met = labels.join(near, "id")
         hook = met.groupBy("root").agg(F.min("m").alias("hook"))  # a chain takes few rounds
         fell = met.join(hook, "root").select("id", F.col("root").alias("was"), F.least("root", "m", "hook").alias("root"))
         jump = labels.select(F.col("id").alias("root"), F.col("root").alias("next"))
         fell = fell.join(jump, "root", "left").select("id", "was", F.least("root", "next").alias("root"))
-        at = shared_dir(spark, "labels")
-        fell.write.parquet(at)
-        fell = spark.read.parquet(at)
+        new = shared_dir(spark, "labels")
+        fell.write.parquet(new)
+        discard(spark, now, *([last] if last else []))
+        last, fell = new, spark.read.parquet(new)
         labels = fell.select("id", "root")
         if not fell.where("root <> was").limit(1).count():
+            discard(spark, edges)
             return labels
 
 
