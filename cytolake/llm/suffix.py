@@ -7,7 +7,10 @@ partition of their hash. There they arrive sorted by hash, in batches. A batch g
 bytes from the anchor on and of the reversed bytes before it, with their common prefix lengths; a window repeats
 if another run shares its part before and its part after the anchor, which the two arrays tell for all runs at
 once without comparing pairs. A hash that goes on over several batches keeps an index family: each new batch is
-merge-scanned against the levels, and levels of equal size merge. Identical runs stay in a level once.
+merge-scanned against the levels, and levels of equal size merge. Identical runs stay in a level once. So that no family
+outgrows a task, a hash of more than HOT_RUNS runs (a passage that a share of all documents holds, each with other text
+around it) sends 128-bit hashes of its runs' windows instead, spread over all partitions and collapsed before they travel;
+the result is the same.
 
 Equal texts collapse first and are removed whole if they reach MIN_LEN bytes. Matches never cross documents.
 
@@ -23,15 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cytolake.llm.common import buffer_of, docs_of, lean, mix, partitions, powers, prefix_hash, ragged, slices, table
+from cytolake.llm.common import buffer_of, docs_of, lean, mix, partitions, powers, prefix_hash, ragged, range_hash, slices, table
 from cytolake.llm.minhash import _key_array, _keys, fresh, key_of
 
 MIN_LEN, ANCHOR = 400, 64
 #: For strip(): the least bytes of a passage that repeats, under those of 50 words (of four letters and a blank), and its anchor.
 PASSAGE_LEN, PASSAGE_ANCHOR = 240, 32
+#: Runs of a hash up to which one task's family of suffix arrays holds them, at about 1.1 KB each; beyond, they go by windows.
+HOT_RUNS = 16_384
 #: Bytes of one buffer in the anchor pass; its positions must fit PLACE_BITS bits.
 BUFFER_BYTES, PLACE_BITS = 1_000_000, 24
 
@@ -119,13 +125,85 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = batch.slice(batch.num_rows - 1)
 
 
-#: Bytes of distinct runs that a task remembers at a time.
-SEEN_BYTES = 24_000_000
+def _marked(hot: int):
+    """_repeated() with a mark on the rows of hashes that have more than hot runs; holds back up to that many runs."""
+
+    def give(part: pa.RecordBatch, flag) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*part.columns, pa.array(np.broadcast_to(flag, part.num_rows))], names=[*part.schema.names, "hot"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, is_hot, last = [], 0, False, None
+        for batch in _repeated(batches):
+            if not batch.num_rows:
+                continue
+            h, runs = batch.column(0).to_numpy(), batch.column(2).value_lengths().to_numpy()
+            edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            start, tail = 0, int(edge[-1])
+            if h[0] == last:
+                start = int(edge[1]) if len(edge) > 1 else len(h)
+                size += int(runs[:start].sum())
+                held.append(batch.slice(0, start))
+                if is_hot or size > hot:
+                    yield from (give(x, True) for x in held)
+                    held, is_hot = [], True
+                if start == len(h):
+                    continue
+            yield from (give(x, size > hot) for x in held)
+            if tail > start:
+                e = edge[(edge >= start) & (edge < tail)] - start
+                many = np.add.reduceat(runs[start:tail], e) > hot
+                yield give(batch.slice(start, tail - start), np.repeat(many, np.diff(np.append(e, tail - start))))
+            held, size, is_hot, last = [batch.slice(tail)], int(runs[tail:].sum()), False, h[tail]
+        if held:
+            yield from (give(x, size > hot) for x in held)
+
+    return run
+
+
+def _windows(prefix: np.ndarray, base: np.ndarray, p: np.ndarray, q: np.ndarray, min_len: int):
+    """Of runs of windows (first and last start p and q, in rows that begin at base): 128 bits of hash of each window, its run and its start."""
+    n = q - p + 1
+    at = ragged(base + p, n)
+    half = min_len // 2
+    one = range_hash(prefix, at, at + min_len)
+    two = mix(range_hash(prefix, at, at + half) * np.uint64(3) + range_hash(prefix, at + half, at + min_len))
+    run = np.repeat(np.arange(len(p)), n)
+    return one, two, run, at - base[run]
+
+
+def _ranges(run: np.ndarray, start: np.ndarray, min_len: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs and ends of the stretches that windows, by run and start, cover without a gap in their starts."""
+    if not len(run):
+        return run, start, start
+    new = np.flatnonzero(np.append(True, (run[1:] != run[:-1]) | (start[1:] != start[:-1] + 1)))
+    return run[new], start[new], start[np.append(new[1:], len(run)) - 1] + min_len
+
+
+#: Bytes of distinct runs that a task remembers at a time, and runs of hot hashes whose windows it compares at a time.
+SEEN_BYTES, HOT_SLICE = 24_000_000, 512
 
 
 def _contexts(min_len: int):
     """The runs with their bytes. Of equal runs that a task meets, one goes on; as all their windows repeat, the bytes
-    that they cover go along as finished ranges (ctx null, a and p the start and end), dealt by text."""
+    that they cover go along as finished ranges (ctx null, a and p the start and end), dealt by text. A run of a hot hash
+    goes on as the hashes of its windows (ctx empty; h and a the hash, p the start), each that some runs share once, with the
+    shared ones' ranges finished."""
+
+    def by_windows(key, h, row, p, q, prefix, off) -> Iterator[pa.RecordBatch]:
+        for x in range(0, len(p), HOT_SLICE):
+            c = slice(x, x + HOT_SLICE)
+            own = key[row[c]]
+            one, two, run, start = _windows(prefix, off[row[c]], p[c], q[c], min_len)
+            order = np.lexsort((two, one))
+            same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+            first = order[np.append(True, ~same)]
+            yield pa.RecordBatch.from_arrays([pa.array(one[first].view(np.int64)), _key_array(own[run[first]]), pa.array(two[first].view(np.int64)), pa.array(start[first]), pa.array([b""] * len(first), pa.binary())], names=["h", "key", "a", "p", "ctx"])
+            twice = np.zeros(len(one), bool)
+            twice[order] = np.append(same, False) | np.append(False, same)
+            r, s, e = _ranges(run[twice], start[twice], min_len)
+            if len(r):
+                k = own[r]
+                yield pa.RecordBatch.from_arrays([pa.array(k.view("<i8")[:, 0].copy()), _key_array(k), pa.array(s), pa.array(e), pa.nulls(len(r), pa.binary())], names=["h", "key", "a", "p", "ctx"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, list] = {}
@@ -139,6 +217,8 @@ def _contexts(min_len: int):
             n_inner = inner.value_lengths().to_numpy()
             h = np.repeat(outer.field("h").to_numpy(), n_inner)
             row = np.repeat(np.repeat(np.arange(part.num_rows), hashes.value_lengths().to_numpy()), n_inner)
+            hot = np.repeat(outer.field("hot").to_numpy(zero_copy_only=False), n_inner)
+            prefix = prefix_hash(data) if hot.any() else None
             flat = inner.flatten()
             a, p, q = (flat.field(k).to_numpy() for k in ("a", "p", "q"))
             for x in range(0, len(h), 4096):
@@ -160,6 +240,10 @@ def _contexts(min_len: int):
                         first.clear()
                     done.append((key[r].tobytes(), pi, pi + hi_edge - lo))
                 go = np.array(go, np.int64)
+                wide = go[hot[s][go]] if prefix is not None else go[:0]
+                if len(wide):
+                    yield from by_windows(key, h[s][wide], row[s][wide], p[s][wide], q[s][wide], prefix, off)
+                    go = go[~hot[s][go]]
                 if len(go):
                     ctx = pa.array([raw[edge[i] : edge[i + 1]] for i in go], pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(h[s][go]), _key_array(key[row[s][go]]), pa.array(a[s][go]), pa.array(p[s][go]), ctx], names=["h", "key", "a", "p", "ctx"])
@@ -282,11 +366,31 @@ class Family:
         self.levels.append(rest)
 
 
+def _twins(held: pa.RecordBatch | None, windows: pa.RecordBatch, min_len: int) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+    """Of windows sorted by hash, after those held of the last hash: key, start and end of each that another one equals,
+    and the windows (one, or two if they are given already) to hold for the next batch."""
+    if held is not None:
+        windows = pa.concat_batches([held, windows])
+    one, two, p = (windows.column(windows.schema.get_field_index(k)).to_numpy() for k in "hap")
+    same = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
+    hit = np.append(same, False) | np.append(False, same)
+    keep = 2 if len(same) and same[-1] else 1
+    key = windows.column(windows.schema.get_field_index("key")).filter(pa.array(hit))
+    return pa.RecordBatch.from_arrays([key, pa.array(p[hit]), pa.array(p[hit] + min_len)], names=["key", "s", "e"]), windows.slice(windows.num_rows - keep)
+
+
 def _match(min_len: int, anchor: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = Family()
+        family, held = Family(), None
         for batch in batches:
             ctx = batch.column(batch.schema.get_field_index("ctx"))
+            empty = pc.fill_null(pc.equal(pc.binary_length(ctx), 0), False)
+            windows = batch.filter(empty)
+            if windows.num_rows:
+                got, held = _twins(held, windows, min_len)
+                yield got
+                batch = batch.filter(pc.invert(empty))
+                ctx = batch.column(batch.schema.get_field_index("ctx"))
             if ctx.null_count:
                 ready = batch.filter(ctx.is_null())
                 yield pa.RecordBatch.from_arrays([ready.column(ready.schema.get_field_index(k)) for k in ("key", "a", "p")], names=["key", "s", "e"])
@@ -333,23 +437,23 @@ def _cut(min_len: int):
     return run
 
 
-def dedup_texts(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR) -> DataFrame:
+def dedup_texts(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR, hot: int = HOT_RUNS) -> DataFrame:
     """A row for each distinct text: key (its digest), n_bytes, n_removed, n_spans, kept_sha256, kept (bytes)."""
     n = partitions(docs.sparkSession)
     texts = docs_of(docs).select(key_of(F.col("text")).alias("key"), "text").groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"))
     kind = "h long, key binary, runs array<struct<a:bigint,p:bigint,q:bigint>>"
-    runs = texts.mapInArrow(lean(_anchor_rows(min_len, anchor)), kind).repartition(n, "h").sortWithinPartitions("h").mapInArrow(lean(_repeated), kind)
-    runs = runs.groupBy("key").agg(F.collect_list(F.struct("h", "runs")).alias("runs"))
+    runs = texts.mapInArrow(lean(_anchor_rows(min_len, anchor)), kind).repartition(n, "h").sortWithinPartitions("h").mapInArrow(lean(_marked(hot)), kind + ", hot boolean")
+    runs = runs.groupBy("key").agg(F.collect_list(F.struct("h", "runs", "hot")).alias("runs"))
     sent = texts.join(runs.hint("shuffle_hash"), "key").mapInArrow(lean(_contexts(min_len)), "h long, key binary, a long, p long, ctx binary")
-    found = sent.repartition(n, "h").sortWithinPartitions("h").mapInArrow(lean(_match(min_len, anchor)), "key binary, s long, e long")
+    found = sent.repartition(n, "h").sortWithinPartitions("h", "a").mapInArrow(lean(_match(min_len, anchor)), "key binary, s long, e long")
     found = found.groupBy("key").agg(F.collect_list(F.struct("s", "e")).alias("found"))
     return texts.join(found.hint("shuffle_hash"), "key", "left").mapInArrow(lean(_cut(min_len)), "key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
-def dedup(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR) -> DataFrame:
+def dedup(docs: DataFrame, min_len: int = MIN_LEN, anchor: int = ANCHOR, hot: int = HOT_RUNS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of each row."""
     rows = docs_of(docs).select("doc_id", key_of(F.col("text")).alias("key"))
-    return rows.join(dedup_texts(docs, min_len, anchor).drop("kept"), "key").drop("key")
+    return rows.join(dedup_texts(docs, min_len, anchor, hot).drop("kept"), "key").drop("key")
 
 
 def strip(docs: DataFrame, min_len: int = PASSAGE_LEN, anchor: int = PASSAGE_ANCHOR) -> DataFrame:

@@ -200,6 +200,29 @@ def test_suffix_dedup_random(spark, min_len, anchor):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = by_key(brute_repeats([(d, t.encode()) for d, t in rows], min_len))
     assert ordered(suffix.dedup(df, min_len, anchor), *COLUMNS) == want
+    for hot in (0, 5):  # all hashes by windows, or those of more than five runs
+        assert ordered(suffix.dedup(df, min_len, anchor, hot), *COLUMNS) == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_suffix_hot_streams(seed):
+    """Marks and equal windows are the same however the sorted rows are cut into batches."""
+    rng = np.random.default_rng(seed)
+    h = np.sort(rng.integers(0, 12, 70))
+    lengths = rng.integers(1, 4, 70)
+    runs = [[{"a": i, "p": 0, "q": 1}] * int(n) for i, n in enumerate(lengths)]
+    rows = pa.RecordBatch.from_arrays([pa.array(h), pa.array([b"k" * 16] * 70, pa.binary()), pa.array(runs, pa.list_(suffix._RUN))], names=["h", "key", "runs"])
+    cut = lambda n: sorted({0, n, *rng.integers(0, n, 9).tolist()})
+    c = cut(70)
+    got = {r["runs"][0]["a"]: r["hot"] for b in suffix._marked(10)(rows.slice(x, y - x) for x, y in zip(c, c[1:])) for r in b.to_pylist()}
+    assert got == {i: bool(lengths[h == h[i]].sum() > 10) for i in range(70) if lengths[h == h[i]].sum() > 1}
+    one, two = np.sort(rng.integers(0, 25, 60)), rng.integers(0, 2, 60)
+    order = np.lexsort((two, one))
+    one, two = one[order], two[order]
+    rows = pa.RecordBatch.from_pydict({"h": pa.array(one), "key": pa.array([bytes([i]) * 16 for i in range(60)], pa.binary()), "a": pa.array(two), "p": pa.array(range(60), pa.int64()), "ctx": pa.array([b""] * 60, pa.binary())})
+    c = cut(60)
+    got = {(r["s"], r["e"]) for b in suffix._match(5, 2)(rows.slice(x, y - x) for x, y in zip(c, c[1:])) for r in b.to_pylist()}
+    assert got == {(i, i + 5) for i in range(60) if ((one == one[i]) & (two == two[i])).sum() > 1}
 
 
 def test_suffix_family_over_batches():
