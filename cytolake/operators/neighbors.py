@@ -38,17 +38,22 @@ def knn_2d(base: DataFrame, k: int, queries: DataFrame | None = None) -> DataFra
     within the seen block; the others go on to cells of twice the width, until a cell spans all points. The first width
     is such that no cell holds more than about CROWD times k points, so a dense spot is not one hot cell, and points at
     one place count k + 1 times at most. Each round is written, so it is computed once."""
-    alone, q = queries is None, base if queries is None else queries
-    shared = base.groupBy("x", "y").count().where("count > 1").limit(1).count()
-    return _nearest_of_places(base, k, q, alone) if shared else _knn_2d(base, k, q, alone)
+    alone, q, box = queries is None, base if queries is None else queries, _box(base)
+    return _nearest_of_places(base, k, q, alone) if box.n and box.most > 1 else _knn_2d(base, k, q, alone, box)
+
+
+def _box(points: DataFrame):
+    """Number and bounds of the points, and how many share a place at most."""
+    spots = points.groupBy("x", "y").agg(F.count("*").alias("c"))
+    return spots.agg(F.sum("c").alias("n"), F.max("c").alias("most"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
 
 
 #: Points that the fullest cell of the first round may hold, for each neighbour sought.
 CROWD = 32
 
 
-def _knn_2d(base: DataFrame, k: int, q: DataFrame, alone: bool) -> DataFrame:
-    box = base.agg(F.count("*").alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
+def _knn_2d(base: DataFrame, k: int, q: DataFrame, alone: bool, box=None) -> DataFrame:
+    box = box or _box(base)
     if not box.n:
         return q.select("id", F.col("id").alias("nbr"), F.lit(0.0).alias("dist"), F.lit(0).alias("rank")).where("false")
     if not alone:
