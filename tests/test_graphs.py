@@ -287,3 +287,21 @@ def test_logistic_ranking(spark):
     for k in range(3):
         mine = {r.gene_id: r.score for r in got if r.grp == f"c{k}"}
         assert max(mine, key=mine.get) == k
+
+
+@pytest.mark.parametrize("size", [5, 20, 100])
+def test_cnv_scores_without_profiles(spark, monkeypatch, size):
+    """Scores need no dense profile: each is the variance of one, at every kind of chromosome, and values at the ends."""
+    rng = np.random.default_rng(11)
+    n, m = 15, 130
+    x = rng.poisson(0.3, (n, m)) * rng.random((n, m))
+    x[:, [0, 69, 70, 127]] = 1.5
+    x[3] = 0
+    chrom = np.array(["1"] * 70 + ["2"] * 54 + ["3"] * 3 + ["4"] * 2 + ["5"])
+    e = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)], "cell_id long, gene_id long, value double")
+    c = spark.createDataFrame([(i,) for i in range(n)], "cell_id long")
+    g = spark.createDataFrame([(j, str(chrom[j]), 7 * j % 131) for j in range(m)], "gene_id long, chromosome string, start long")
+    want = {r.cell_id: r for r in cnv.window_cnv(e, c, g, size).collect()}
+    monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
+    got = {r.cell_id: r.cnv_score for r in cnv.window_cnv(e, c, g, size, with_profile=False).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(np.var(want[k].profile), rel=1e-10) for k in got)
