@@ -297,3 +297,18 @@ def test_cache(spark, tmp_path):
     for _ in range(2):
         assert tables.cached(spark, str(tmp_path), key, make).count() == 3
     assert made == [1]
+
+
+@pytest.mark.parametrize("slope", [1.0, 0.0])
+def test_residual_squares_are_those_of_the_residuals(spark, slope):
+    rng = np.random.default_rng(5)
+    n = 25
+    a = rng.normal(size=n)
+    b = slope * rng.normal(size=n) + 2 * a * (slope == 0)
+    x = np.maximum(0, rng.normal(size=(n, 4)) + a[:, None])
+    e = frame(spark, [(i, j, float(x[i, j])) for i in range(n) for j in range(4) if x[i, j]], "cell_id long, gene_id long, value double")
+    c = frame(spark, [(i, float(a[i]), float(b[i])) for i in range(n)], "cell_id long, s double, g double")
+    want = {r.gene_id: r.ss for r in matrix.regress_out(e, c, ("s", "g")).groupBy("gene_id").agg(F.sum(F.col("value") * F.col("value")).alias("ss")).collect()}
+    got = matrix.residual_squares(e, c, ("s", "g"))
+    assert "Generate" not in got._jdf.queryExecution().toString()
+    assert {r.gene_id: r.residual_ss for r in got.collect()} == pytest.approx(want, rel=1e-6)
