@@ -324,3 +324,33 @@ def test_simulated_neighbors_are_counted_by_place(spark, monkeypatch):
     monkeypatch.setattr(embedding, "written", lambda t, name: seen.append(t.count()) or t)
     embedding.simulated_neighbors(df, 5).count()
     assert seen == [len(np.unique(x, axis=0))]
+
+
+def test_box_products():
+    rng = np.random.default_rng(8)
+    lo = rng.integers(0, 90, 400)
+    cell, hi, v = rng.integers(0, 6, 400), lo + rng.integers(1, 20, 400), rng.normal(size=400)
+    x = np.zeros((6, 120))
+    for a, i, j, w in zip(cell, lo, hi, v, strict=True):
+        x[a, i:j] += w
+    assert np.allclose(cnv.box_products(cell, lo, hi, v, 6), x @ x.T)  # blocks
+    y = np.zeros((900, 120))
+    y[:6] = x
+    assert np.allclose(cnv.box_products(cell, lo, hi, v, 900), y @ y.T)  # pairs
+
+
+@pytest.mark.parametrize("limits", [(1000, 1000), (60, 40)])
+def test_window_clones_are_those_of_the_profiles(spark, monkeypatch, limits):
+    rng = np.random.default_rng(12)
+    n, m = 400, 130
+    x = rng.poisson(0.2, (n, m)) * rng.random((n, m))
+    x[::2, :60] *= 4
+    x[1::4, 80:] *= 6
+    x[5] = 0
+    e = spark.createDataFrame([(int(i), int(j), float(x[i, j])) for i, j in zip(*np.nonzero(x), strict=True)], "cell_id long, gene_id long, value double")
+    c = spark.createDataFrame([(i,) for i in range(n)], "cell_id long")
+    g = spark.createDataFrame([(j, "1" if j < 70 else "2", j) for j in range(m)], "gene_id long, chromosome string, start long")
+    want = {r.cell_id: r.clone for r in cnv.hierarchical_clones(cnv.window_cnv(e, c, g, 20), *limits).collect()}
+    monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
+    got = {r.cell_id: r.clone for r in cnv.window_clones(e, c, g, 20, limit=limits[0], sample=limits[1]).collect()}
+    assert len(set(got.values())) > 1 and got == want
