@@ -354,3 +354,16 @@ def test_window_clones_are_those_of_the_profiles(spark, monkeypatch, limits):
     monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
     got = {r.cell_id: r.clone for r in cnv.window_clones(e, c, g, 20, limit=limits[0], sample=limits[1]).collect()}
     assert len(set(got.values())) > 1 and got == want
+
+
+def test_least_is_a_stable_sort_that_sorts_only_ties(monkeypatch):
+    rng = np.random.default_rng(9)
+    free, tied = rng.random((40, 200)), rng.integers(0, 5, (40, 200)).astype(float)
+    tied[3, :150] = np.inf
+    for d in (free, tied):
+        for k in (1, 14, 199, 200, 300):
+            assert (neighbors._least(d, k) == np.argsort(d, axis=1, kind="stable")[:, :k]).all()
+    sizes, sort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda a, *r, **q: sizes.append(a.size) or sort(a, *r, **q))
+    neighbors._least(free, 14)
+    assert max(sizes) <= 40 * 14
