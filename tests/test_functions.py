@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cytolake import catalog
 from cytolake.functions import numeric as N
 from cytolake.functions import panels
 from cytolake.operators import cnv, groups, matrix, ranking, reads
@@ -312,3 +313,8 @@ def test_residual_squares_are_those_of_the_residuals(spark, slope):
     got = matrix.residual_squares(e, c, ("s", "g"))
     assert "Generate" not in got._jdf.queryExecution().toString()
     assert {r.gene_id: r.residual_ss for r in got.collect()} == pytest.approx(want, rel=1e-6)
+
+
+def test_clone_stats_needs_no_profiles(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
+    assert catalog.QUERIES["clone_stats"](spark, sf_dir).count() == 3
