@@ -318,3 +318,8 @@ def test_residual_squares_are_those_of_the_residuals(spark, slope):
 def test_clone_stats_needs_no_profiles(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
     assert catalog.QUERIES["clone_stats"](spark, sf_dir).count() == 3
+
+
+def test_clone_quantile_bins_needs_no_profiles(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
+    assert catalog.QUERIES["clone_quantile_bins"](spark, sf_dir).count() == 150
