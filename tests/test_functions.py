@@ -323,3 +323,8 @@ def test_clone_stats_needs_no_profiles(spark, sf_dir, monkeypatch):
 def test_clone_quantile_bins_needs_no_profiles(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
     assert catalog.QUERIES["clone_quantile_bins"](spark, sf_dir).count() == 150
+
+
+def test_cnv_classify_needs_no_profiles(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
+    assert catalog.QUERIES["cnv_classify"](spark, sf_dir).count() == 150
