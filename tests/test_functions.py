@@ -328,3 +328,15 @@ def test_clone_quantile_bins_needs_no_profiles(spark, sf_dir, monkeypatch):
 def test_cnv_classify_needs_no_profiles(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(cnv, "_smooth", lambda *_: pytest.fail("dense"))
     assert catalog.QUERIES["cnv_classify"](spark, sf_dir).count() == 150
+
+
+def _scores(spark, n: int):
+    v = np.random.default_rng(11).integers(0, 500, n) / 977
+    return frame(spark, [(i, float(x)) for i, x in enumerate(v)], "cell_id long, cnv_score double"), v
+
+
+def test_classify_holds_no_scores_in_one_task(spark):
+    scores, v = _scores(spark, 1001)
+    got = cnv.classify(scores)
+    assert "percentile" not in got._jdf.queryExecution().toString()
+    assert {r.cell_id for r in got.where("cnv_class = 'Malignant'").collect()} == set(np.flatnonzero(np.round(v, 12) > np.round(np.quantile(v, 0.75), 12)).tolist())

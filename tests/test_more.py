@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cytolake.operators import embedding, neighbors, ordering, ranking, reads
 from cytolake.plans import upkeep, validation
@@ -26,6 +27,19 @@ def test_placed(spark):
     assert ordering.placed(spark.createDataFrame([], "a long"), ["a"]).count() == 0
 
 
+def test_quantiles(spark):
+    rng = np.random.default_rng(3)
+    rows = [(g, float(v)) for g, n in (("a", 1), ("b", 2), ("c", 501), (None, 40)) for v in rng.integers(0, 60, n) / 7] + [("d", None), ("c", None), ("c", float("inf"))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    at = {"least": 0.0, "q33": 0.33, "mid": 0.5, "most": 1.0}
+    for by in ([], ["g"]):
+        want = df.groupBy(*by).agg(*[F.percentile("v", q).alias(k) for k, q in at.items()]).where("mid is not null").collect()
+        assert sorted(map(repr, ordering.quantiles(df, "v", at, by).collect())) == sorted(map(repr, want))
+    assert ordering.quantiles(df.where("v is null"), "v", at).collect() == [(None,) * 4]
+    assert ordering.quantiles(df.where("v is null"), "v", at, ["g"]).count() == 0
+    assert ordering.quantiles(spark.createDataFrame([(2.5,)] * 1000, "v double"), "v", at).collect() == [(2.5,) * 4]
+
+
 def test_knn_2d_of_coincident_points(spark):
     """50,000 points at one place and a dense spot beside it, without a row for each pair."""
     n = 50_000
