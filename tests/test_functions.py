@@ -340,3 +340,11 @@ def test_classify_holds_no_scores_in_one_task(spark):
     got = cnv.classify(scores)
     assert "percentile" not in got._jdf.queryExecution().toString()
     assert {r.cell_id for r in got.where("cnv_class = 'Malignant'").collect()} == set(np.flatnonzero(np.round(v, 12) > np.round(np.quantile(v, 0.75), 12)).tolist())
+
+
+def test_score_clones_holds_no_scores_in_one_task(spark):
+    scores, v = _scores(spark, 1003)
+    got = cnv.score_clones(scores)
+    assert got.columns == ["cell_id", "cnv_score", "clone"] and "percentile" not in got._jdf.queryExecution().toString()
+    want = np.digitize(np.round(v, 12), np.round(np.quantile(v, [0.33, 0.66]), 12)) + 1
+    assert {r.cell_id: r.clone for r in got.collect()} == {i: f"Clone_{k}" for i, k in enumerate(want)}
