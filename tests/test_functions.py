@@ -348,3 +348,14 @@ def test_score_clones_holds_no_scores_in_one_task(spark):
     assert got.columns == ["cell_id", "cnv_score", "clone"] and "percentile" not in got._jdf.queryExecution().toString()
     want = np.digitize(np.round(v, 12), np.round(np.quantile(v, [0.33, 0.66]), 12)) + 1
     assert {r.cell_id: r.clone for r in got.collect()} == {i: f"Clone_{k}" for i, k in enumerate(want)}
+
+
+def test_clone_stats_holds_no_pseudotimes_in_one_task(spark):
+    v = np.random.default_rng(12).integers(0, 300, 400) / 7
+    rows = [(f"Clone_{i % 3}", i / 10, float(x), "ab"[i % 2]) for i, x in enumerate(v)] + [("Clone_0", 1.0, x, None) for x in (None, math.nan, math.inf)] + [("Clone_9", 2.0, None, None), (None, 3.0, 4.0, "a")]
+    got = cnv.clone_stats(frame(spark, rows, "clone string, cnv_score double, pt double, cell_type string"))
+    assert got.columns == ["clone", "n_cells", "mean_cnv_score", "mean_pseudotime", "median_pseudotime", "dominant_cell_type", "fraction"] and "percentile" not in got._jdf.queryExecution().toString()
+    s = {r.clone: r for r in got.collect()}
+    assert {c: r.n_cells for c, r in s.items()} == {"Clone_0": 137, "Clone_1": 133, "Clone_2": 133, "Clone_9": 1, None: 1}
+    assert [s[f"Clone_{k}"].median_pseudotime for k in range(3)] == pytest.approx([np.median(v[k::3]) for k in range(3)])
+    assert s["Clone_9"].median_pseudotime is None and s[None].median_pseudotime == 4.0
