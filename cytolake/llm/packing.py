@@ -41,13 +41,18 @@ def default_vocabulary() -> str:
 
 
 @functools.cache
-def tokenizer(path: str, with_marks: bool = True):
+def _loaded(path: str):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task owns one core
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
+    return Tokenizer.from_file(path)
+
+
+def tokenizer(path: str, with_marks: bool = True):
+    """The file's tokenizer, the only copy in a process; with_marks holds until the next call."""
+    t = _loaded(path)
     t.encode_special_tokens = not with_marks  # then their strings in a text are ordinary text
     return t
 

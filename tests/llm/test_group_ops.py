@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cytolake.llm import chat, media, minhash, suffix, warc
@@ -187,6 +188,30 @@ def test_suffix_dedup(docs, empty):
     assert len(got[11].text) == len(dict(awkward())[11])
 
 
+def python_nodes_in_a_stage(plan: str) -> int:
+    """The most Python nodes that one path of a plan's tree has between exchanges."""
+    most, above = 0, []  # depth, Python nodes from the last exchange on
+    for line in plan.split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-"))
+        above = [x for x in above if x[0] < depth]
+        n = above[-1][1] if above else 0
+        name = line.lstrip(" :+-")
+        n = 0 if name.startswith("Exchange") else n + ("InArrow" in name.split("(")[0].split(" ")[0])
+        above.append((depth, n))
+        most = max(most, n)
+    return most
+
+
+def test_strip_keeps_one_worker_a_core(docs):
+    """Each further Python node of a stage keeps a Python worker of its own for each core; the text is as before."""
+    clean = suffix.strip(docs, 24, 8)
+    assert python_nodes_in_a_stage(clean._jdf.queryExecution().executedPlan().toString()) == 1
+    kept = {bytes(r.key): bytes(r.kept).decode("utf-8", "ignore") for r in suffix.dedup_texts(docs, 24, 8).collect()}
+    keys = docs.selectExpr("doc_id", "n_chars", "text").withColumn("key", suffix.key_of(F.coalesce("text", F.lit("")))).collect()
+    got = Counter((r.doc_id, r.text, r.n_chars) for r in clean.collect())
+    assert got == Counter((r.doc_id, kept[bytes(r.key)], len(kept[bytes(r.key)])) for r in keys)
+
+
 @pytest.mark.parametrize("min_len,anchor", [(24, 8), (40, 16)])
 def test_suffix_dedup_random(spark, min_len, anchor):
     """Low-entropy texts, shared passages and a hash that goes on over many batches."""

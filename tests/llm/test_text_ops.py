@@ -115,6 +115,15 @@ def test_packing_ids_are_the_tokenizers():
             assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_packing_loads_a_vocabulary_once():
+    """A worker keeps its tokenizer between tasks: one of them, with marks and without."""
+    path = packing.default_vocabulary()
+    (ids,) = packing.encode_rows(packing.ChunkEncoder(path), pa.array(["a <|endoftext|> b"]))
+    with_marks, without = (packing.tokenizer(path, x).encode("<|endoftext|>", add_special_tokens=False).ids for x in (True, False))
+    assert len(with_marks) == 1 < len(without) and with_marks[0] in ids.tolist()
+    assert packing.tokenizer(path, True) is packing.tokenizer(path, False)
+
+
 def test_packing_other_vocabulary(spark, tmp_path):
     """A file that normalises otherwise goes to the tokenizer itself."""
     said = json.load(open(packing.default_vocabulary(), encoding="utf-8"))
