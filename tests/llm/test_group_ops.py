@@ -188,6 +188,16 @@ def test_suffix_dedup(docs, empty):
     assert len(got[11].text) == len(dict(awkward())[11])
 
 
+def test_suffix_contract_length(spark):
+    """Strings of 400 bytes go, of 399 (here over 50 words) stay; n_bytes is the whole text's length, whatever goes."""
+    shared = ("é" + " word of it" * 60)[:398]  # 399 bytes
+    assert len(shared.encode()) == 399 and len(shared.split()) > 50
+    rows = [(1, "A" + shared + "B"), (2, "C" + shared + "D"), (3, "E" + shared[::-1] + "FG"), (4, "H" + shared[::-1] + "FI")]
+    got = ordered(suffix.dedup(spark.createDataFrame(rows, "doc_id long, text string")), *COLUMNS)
+    assert got == by_key(brute_repeats([(d, t.encode()) for d, t in rows]))
+    assert [r[:4] for r in got] == [(1, 401, 0, 0), (2, 401, 0, 0), (3, 402, 400, 1), (4, 402, 400, 1)]
+
+
 def python_nodes_in_a_stage(plan: str) -> int:
     """The most Python nodes that one path of a plan's tree has between exchanges."""
     most, above = 0, []  # depth, Python nodes from the last exchange on
