@@ -359,3 +359,19 @@ def test_clone_stats_holds_no_pseudotimes_in_one_task(spark):
     assert {c: r.n_cells for c, r in s.items()} == {"Clone_0": 137, "Clone_1": 133, "Clone_2": 133, "Clone_9": 1, None: 1}
     assert [s[f"Clone_{k}"].median_pseudotime for k in range(3)] == pytest.approx([np.median(v[k::3]) for k in range(3)])
     assert s["Clone_9"].median_pseudotime is None and s[None].median_pseudotime == 4.0
+
+
+def test_residual_squares_come_from_residuals(spark):
+    rng = np.random.default_rng(7)
+    n = 40
+    a, b = rng.normal(size=n), rng.normal(size=n)
+    x = rng.normal(scale=1e-3, size=(n, 6)) + 1e6 * (np.arange(6) < 5) + 1e-3 * a[:, None]  # of squares of 1e6, sums keep no digit of these
+    x[rng.random((n, 6)) < np.arange(6) / 20] = 0
+    e = frame(spark, [(i, j, float(x[i, j])) for i in range(n) for j in range(6) if x[i, j]] + [(n, 0, 1.0)], "cell_id long, gene_id long, value double")
+    c = frame(spark, [(i, float(a[i]), float(b[i])) for i in range(n)], "cell_id long, s double, g double")
+    design = np.c_[np.ones(n), a, b]
+    want = ((x - design @ np.linalg.lstsq(design, x, rcond=None)[0]) ** 2).sum(axis=0)
+    for block in (1 << 16, 7, 1):
+        got = {r.gene_id: r.residual_ss for r in matrix.residual_squares(e, c, ("s", "g"), block).collect()}
+        assert [got[j] for j in range(6)] == pytest.approx(list(want), rel=1e-5)
+    assert matrix.residual_squares(e.where("false"), c, ("s", "g")).count() == 0
