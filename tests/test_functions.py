@@ -375,3 +375,18 @@ def test_residual_squares_come_from_residuals(spark):
         got = {r.gene_id: r.residual_ss for r in matrix.residual_squares(e, c, ("s", "g"), block).collect()}
         assert [got[j] for j in range(6)] == pytest.approx(list(want), rel=1e-5)
     assert matrix.residual_squares(e.where("false"), c, ("s", "g")).count() == 0
+
+
+def test_residual_squares_of_cells_at_one_place(spark):
+    rng = np.random.default_rng(8)
+    n = 60
+    a, b = rng.integers(0, 3, n).astype(float), rng.integers(0, 2, n).astype(float)
+    x = np.where(rng.random((n, 40)) < np.arange(40) / 39, 1 + a[:, None] + rng.normal(size=(n, 40)), 0)  # from no cell of a place to all of them
+    x[0, 0] = 1
+    e = frame(spark, [(i, j, float(x[i, j])) for i in range(n) for j in range(40) if x[i, j]], "cell_id long, gene_id long, value double")
+    c = frame(spark, [(i, float(a[i]), float(b[i])) for i in range(n)], "cell_id long, s double, g double")
+    design = np.c_[np.ones(n), a, b]
+    want = ((x - design @ np.linalg.lstsq(design, x, rcond=None)[0]) ** 2).sum(axis=0)
+    for block in (1 << 16, 4):
+        got = {r.gene_id: r.residual_ss for r in matrix.residual_squares(e, c, ("s", "g"), block).collect()}
+        assert [got[j] for j in range(40)] == pytest.approx(list(want), rel=1e-9)
